@@ -84,11 +84,14 @@ def event_calendar(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_calendar_noisy(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw calendar with repeats and conflicts: signups call every day a weekend, errors a holiday."""
+    """Raw calendar with repeats, conflicts and gaps.
+
+    Signups call their day a weekend, errors a holiday, and Sundays are holidays to all.
+    """
     day = F.to_date("ts")
     kind = (
-        F.when(F.col("event_type") == "signup", "Weekend")
-        .when(F.col("event_type") == "error", "Holiday")
+        F.when((F.col("event_type") == "error") | (F.weekday(day) == 6), "Holiday")
+        .when(F.col("event_type") == "signup", "Weekend")
         .otherwise(_day_type(day))
     )
     return table(spark, folder, "events").select(day.cast("string").alias("record_date"), kind.alias("day_type"))

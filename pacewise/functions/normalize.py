@@ -8,19 +8,17 @@ from pyspark.sql import functions as F
 from pacewise import vocab
 
 
+_DAY = r"^\s*(\d{4})(?:([-/])(\d{1,2})\2(\d{1,2})|(\d{2})(\d{2}))(?!\d).*$"
+
+
 def parse_date(text: Column) -> Column:
-    """Date from ``yyyy/M/d``, ``yyyy-M-d``, ``yyyyMMdd`` or an ISO date-time; anything else is null.
+    """Date from ``yyyy/M/d``, ``yyyy-M-d``, ``yyyyMMdd`` or any text Spark casts to a date.
 
-    A trailing time after a space is ignored. The separator picks the pattern, so a row is parsed
-    once instead of failing through a list of patterns.
+    Whatever follows the day is ignored; bad texts are null. All notations are first brought to
+    ISO form, so each row costs one pattern match and one cast.
     """
-    day = F.split_part(F.trim(text.cast("string")), F.lit(" "), F.lit(1))
-    compact = (F.length(day) == 8) & ~day.contains("-")
-    return (
-        F.when(day.contains("/"), F.try_to_date(day, "yyyy/M/d"))
-        .when(compact, F.try_to_date(day, "yyyyMMdd"))
-        .otherwise(day.try_cast("date"))
-    )
+    iso = F.regexp_replace(text.cast("string"), F.lit(_DAY), F.lit("$1-$3$5-$4$6"))
+    return iso.try_cast("date")
 
 
 def parse_feed_timestamp(text: Column) -> Column:
@@ -47,31 +45,28 @@ def clock_digits(text: Column) -> Column:
     return F.regexp_replace(text.cast("string"), "[^0-9]", "")
 
 
-def clock_hour(text: Column) -> Column:
-    """Hour of a clock text: up to two digits are an hour, otherwise the first two of four."""
-    digits = clock_digits(text)
-    return (
-        F.when(F.length(digits) <= 2, digits)
-        .otherwise(F.substring(F.lpad(digits, 4, "0"), 1, 2))
-        .try_cast("int")
-    )
+# Up to two digits are an hour; three digits are one and two; of more, the first four count.
+_HOUR = r"^(\d{1,2}$|\d(?=\d{2}$)|\d{2})"
+_MINUTE = r"^(?:\d(?=\d{2}$)|\d{2})(\d{2})"
+
+
+def hour_of(digits: Column) -> Column:
+    """Hour of clock digits; null without digits."""
+    return F.regexp_extract(digits, _HOUR, 1).try_cast("int")
 
 
-def clock_minute(text: Column) -> Column:
-    """Minute of a clock text: zero for a bare hour, otherwise digits three and four (unchecked)."""
-    digits = clock_digits(text)
-    return F.when(F.length(digits) <= 2, F.lit(0)).otherwise(
-        F.substring(F.lpad(digits, 4, "0"), 3, 2).try_cast("int")
-    )
+def minute_of(digits: Column) -> Column:
+    """Minute of clock digits, zero for a bare hour. It is not checked against 59."""
+    return F.concat(F.lit("0"), F.regexp_extract(digits, _MINUTE, 1)).try_cast("int")
 
 
-def clock_text(text: Column) -> Column:
+def clock_text(hour: Column, minute: Column) -> Column:
     """``HH:MM``. A missing part is left out, so this is never null; the hour band is the real guard."""
 
     def two(part: Column) -> Column:
         return F.lpad(part.cast("string"), 2, "0")
 
-    return F.concat_ws(":", two(clock_hour(text)), two(clock_minute(text)))
+    return F.concat_ws(":", two(hour), two(minute))
 
 
 def hour_band(
@@ -79,12 +74,11 @@ def hour_band(
     bands: Sequence[tuple[str, int, int]] = vocab.TIME_BANDS,
     default: str = vocab.UNCLASSIFIED,
 ) -> Column:
-    """Label of the inclusive hour range that holds ``hour``."""
-    label, low, high = bands[0]
-    chain = F.when(hour.between(low, high), F.lit(label))
-    for label, low, high in bands[1:]:
-        chain = chain.when(hour.between(low, high), F.lit(label))
-    return chain.otherwise(F.lit(default))
+    """Label of the inclusive hour range that holds ``hour``, looked up once per row."""
+    labels = [default] * (max(high for _, _, high in bands) + 1)
+    for label, low, high in reversed(bands):
+        labels[low : high + 1] = [label] * (high - low + 1)
+    return F.coalesce(F.get(F.array(*map(F.lit, labels)), hour), F.lit(default))
 
 
 def decoded_path(path: Column) -> Column:

@@ -6,28 +6,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacewise import vocab
-from pacewise.functions.normalize import clock_hour, clock_minute, clock_text, hour_band, parse_date
+from pacewise.functions.normalize import clock_digits, clock_text, hour_band, hour_of, minute_of, parse_date
 from pacewise.schemas import CLEAN_COLUMNS, SEGMENT_COLUMNS, require_columns
 
 
 def typed(raw: DataFrame) -> DataFrame:
     """Renamed, trimmed, cast and derived columns; bad texts become null."""
     require_columns(raw, SEGMENT_COLUMNS + ("pair_id",), "segment rows")
-    clock = F.col("RecordTime")
-    day = F.col("record_date")
+    day, digits, hour, minute = (F.col(c) for c in ("record_date", "digits", "clock_hour", "clock_minute"))
     return (
         raw.select(
             F.trim("pair_id").alias("pair_id"),
             parse_date(F.col("RecordDate")).alias("record_date"),
-            clock_text(clock).alias("record_time_minute"),
-            clock_minute(clock).alias("clock_minute"),
-            hour_band(clock_hour(clock)).alias("time_period"),
+            clock_digits(F.col("RecordTime")).alias("digits"),
             F.col("VehicleType").cast("string").alias("vehicle_type"),
             F.col("TravelTime").try_cast("int").alias("travel_time_sec"),
             F.col("Volume").try_cast("long").alias("volume"),
         )
-        .withColumn("record_year", F.year(day))
-        .withColumn("record_month", F.date_format(day, "yyyy-MM"))
+        .withColumns({"clock_hour": hour_of(digits), "clock_minute": minute_of(digits)})
+        .withColumns(
+            {
+                "record_time_minute": clock_text(hour, minute),
+                "time_period": hour_band(hour),
+                "record_year": F.year(day),
+                "record_month": F.date_format(day, "yyyy-MM"),
+            }
+        )
+        .drop("digits")
     )
 
 
@@ -42,23 +47,22 @@ def valid(
 ) -> DataFrame:
     """Rows that have a wanted segment, a date, a classified hour, a vehicle and positive measures.
 
+    A comparison with null is not true, so each one also drops nulls. Cheap tests come first.
     ``strict_minute`` also drops minutes above 59, which are kept by default.
     """
     pair, vehicle = F.col("pair_id"), F.col("vehicle_type")
     kept = (
-        pair.isNotNull()
-        & (pair != "")
-        & F.col("record_date").isNotNull()
-        & vehicle.isNotNull()
+        (pair != "")
         & (vehicle != "")
         & positive_measures()
+        & F.col("record_date").isNotNull()
         & (F.col("time_period") != vocab.UNCLASSIFIED)
     )
     if excluded:
         kept = kept & ~pair.isin(*excluded)
     if strict_minute:
         kept = kept & (F.col("clock_minute") < 60)
-    return rows.filter(kept).drop("clock_minute")
+    return rows.filter(kept).drop("clock_hour", "clock_minute")
 
 
 def exclude_pairs(rows: DataFrame, excluded: DataFrame) -> DataFrame:

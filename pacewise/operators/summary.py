@@ -3,14 +3,20 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pacewise import vocab
 from pacewise.functions import measures
 from pacewise.operators.levels import expand_levels, grouping_sets_levels, level_input, union_levels
 from pacewise.operators.weighted import weighted_percentile_disc
 from pacewise.schemas import GROUP_COLUMNS, SUMMARY_COLUMNS
 
 
+# The segment comes first because the window sort then tells most rows apart by their first bytes.
+_SORTED_KEYS = ("pair_id", "summary_level", "day_type", "time_period")
+
+
 def level_percentiles(level_rows: DataFrame) -> DataFrame:
-    return weighted_percentile_disc(level_rows, GROUP_COLUMNS, "travel_time_sec", "volume")
+    percentiles = weighted_percentile_disc(level_rows, _SORTED_KEYS, "travel_time_sec", "volume")
+    return percentiles.select(*GROUP_COLUMNS, *(name for name, _, _ in vocab.PERCENTILES))
 
 
 def with_buffer(percentiles: DataFrame) -> DataFrame:

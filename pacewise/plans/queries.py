@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pacewise import vocab
 from pacewise.functions import display
-from pacewise.functions.normalize import clock_hour, clock_minute, clock_text, hour_band, parse_date
+from pacewise.functions.normalize import clock_digits, clock_text, hour_band, hour_of, minute_of, parse_date
 from pacewise.operators import clean, conversion, export, levels, lookup, quality, remap, split, summary, weighted
 from pacewise.operators.histogram import histogram
 from pacewise.plans import adapters
@@ -307,11 +307,12 @@ def norm_time(spark: SparkSession, folder: str) -> DataFrame:
     ts = F.col("ts")
     forms = ("HH:mm", "HHmm", "H:mm", "HH:mm:ss", "H")
     text = _choose(*(F.date_format(ts, f) for f in forms), F.col("event_type"), F.lit(None).cast("string"))
-    return adapters.table(spark, folder, "events").select(
-        "event_id",
-        clock_hour(text).alias("clock_hour"),
-        clock_minute(text).alias("clock_minute"),
-        clock_text(text).alias("record_time_minute"),
+    digits, hour, minute = F.col("digits"), F.col("clock_hour"), F.col("clock_minute")
+    return (
+        adapters.table(spark, folder, "events")
+        .select("event_id", clock_digits(text).alias("digits"))
+        .select("event_id", hour_of(digits).alias("clock_hour"), minute_of(digits).alias("clock_minute"))
+        .withColumn("record_time_minute", clock_text(hour, minute))
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacewise import vocab
+from pacewise.operators.bounded import broadcast_if_small
 from pacewise.schemas import SEGMENT, SEGMENT_COLUMNS
 
 _INTEGERS = tuple(f.name for f in SEGMENT if f.name not in ("RecordDate", "RecordTime"))
@@ -95,9 +96,10 @@ def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame
 def accepted_rows(lines: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Typed rows of all files that were not rejected.
 
-    Pass verdicts that were written as a table: Spark then knows their size and picks the join.
+    Pass verdicts that were written as a table. Rejected files are few, so once counted they are
+    broadcast and the rows stay where they were read.
     """
-    failed = verdicts.filter("status = 'failed'").select("pair_id", "source_file")
+    failed = broadcast_if_small(verdicts.filter("status = 'failed'").select("pair_id", "source_file"))
     rows = parse_lines(lines).filter(~F.col("header"))
     return rows.join(failed, ["pair_id", "source_file"], "left_anti").select(
         "pair_id", "source_file", *(_typed(n).alias(n) for n in SEGMENT_COLUMNS)

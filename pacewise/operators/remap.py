@@ -110,7 +110,7 @@ def merge_segments(rows: DataFrame, rules: DataFrame, keep_source: bool = False)
     return alone.unionByName(moved).unionByName(merged)
 
 
-def chronological(rows: DataFrame) -> DataFrame:
-    """Rows sorted inside each partition by segment and time; unreadable times come last."""
+def chronological() -> list[Column]:
+    """Sort keys of split rows inside a segment: by time, unreadable times last, then as text."""
     stamp = parse_feed_timestamp(F.concat_ws(" ", "date", "time"))
-    return rows.sortWithinPartitions("year", "pair_id", stamp.asc_nulls_last(), "date", "time")
+    return [stamp.asc_nulls_last(), F.col("date").asc(), F.col("time").asc()]

@@ -1,6 +1,6 @@
 """Split raw feed rows into segment rows, with the filters and counters of that job."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pacewise.functions.normalize import feed_date_text, feed_time_text, pair_id, parse_feed_timestamp
@@ -22,6 +22,22 @@ def tag_feed(raw: DataFrame, wanted: FeedFilter = FeedFilter()) -> DataFrame:
     )
 
 
+def observe_feed(raw: DataFrame, observation: Observation, wanted: FeedFilter = FeedFilter()) -> DataFrame:
+    """Feed rows unchanged; whatever action runs them also counts what will be dropped and why."""
+    parsed, in_range, pair = F.col("parsed"), F.col("in_range"), F.col("pair_id")
+    return (
+        tag_feed(raw, wanted)
+        .observe(
+            observation,
+            F.count("*").alias("rows_read"),
+            F.count_if(~parsed).alias("rows_unparsed"),
+            F.count_if(parsed & ~in_range).alias("rows_out_of_range"),
+            F.count_if(in_range & pair.isNull()).alias("rows_without_pair"),
+        )
+        .select(*raw.columns)
+    )
+
+
 def split_feed(raw: DataFrame, wanted: FeedFilter = FeedFilter()) -> DataFrame:
     """``year, pair_id`` and the five split columns of the rows that parse, pass and have both ends."""
     ts = F.col("ts")

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pacewise import vocab
@@ -11,8 +11,8 @@ from pacewise.operators.bounded import checkpointed
 from pacewise.operators.clean import build_clean
 from pacewise.operators.export import check_locations, with_location
 from pacewise.operators.histogram import histogram
-from pacewise.operators.remap import merge_rules, merge_segments
-from pacewise.operators.split import only_known_pairs, split_feed
+from pacewise.operators.remap import chronological, merge_rules, merge_segments
+from pacewise.operators.split import observe_feed, only_known_pairs, split_feed
 from pacewise.operators.summary import invalid_percentiles, level_counts, summarise
 from pacewise.schemas import SUMMARY_COLUMNS, require_columns
 from pacewise.sinks import files, tables
@@ -33,13 +33,28 @@ def split(
     reset: bool = False,
     recursive: bool = True,
     only_existing_pairs: bool = False,
-) -> None:
-    """Raw feed to split rows. Arguments and input files are checked before output is touched."""
+) -> dict[str, int]:
+    """Raw feed to split rows; returns row counters, which the write itself collects.
+
+    Arguments and input files are checked before output is touched.
+    """
     wanted = FeedFilter.of(year, start, end)
-    rows = split_feed(read_feed(spark, feed, wanted, recursive), wanted)
+    raw = read_feed(spark, feed, wanted, recursive)
+    read, written = Observation("read"), Observation("written")
+    observed = observe_feed(raw, read, wanted)
+    rows = split_feed(observed, wanted)
     if only_existing_pairs:
-        rows = only_known_pairs(rows, _known_pairs(spark, output))
+        known = None if reset else _known_pairs(spark, output)
+        if known is None or known.isEmpty():
+            # Nothing can be kept. Spark would drop the whole plan, so the counters run by themselves.
+            observed.write.format("noop").mode("overwrite").save()
+            if reset:
+                files.write_split(split_feed(raw, wanted).limit(0), output, reset=True)
+            return read.get | {"rows_written": 0}
+        rows = only_known_pairs(rows, known)
+    rows = rows.observe(written, F.count("*").alias("rows_written"))
     files.write_split(rows, output, wanted.year, append, reset)
+    return read.get | written.get
 
 
 def _known_pairs(spark: SparkSession, output: str) -> DataFrame:
@@ -57,7 +72,7 @@ def merge(
     """Split rows under their final segments, into a new folder."""
     rules = merge_rules(read_mapping(spark, mapping_path))
     merged = merge_segments(files.read_split(spark, split_root), rules, keep_source)
-    files.write_split(merged, output, reset=True)
+    files.write_split(merged, output, reset=True, sort_by=chronological())
 
 
 def convert(
@@ -77,21 +92,14 @@ def convert(
     planned = conversion.planned_files(found, None if overwrite else _converted(spark, found, output))
     if dry_run:
         return planned
-    todo = planned.select("pair_id", "source_file")
-    lines = read_segment_lines(spark, split_root)
-    if not overwrite:
-        lines = lines.join(todo, ["pair_id", "source_file"], "left_semi")
-    conversion.file_verdicts(lines, todo).write.mode("overwrite").parquet(report)
+    # File names (not data) pass through the driver, as in any Spark file listing.
+    lines = read_segment_lines(spark, [r.source_file for r in planned.filter("length > 0").toLocalIterator()])
+    conversion.file_verdicts(lines, planned).write.mode("overwrite").parquet(report)
     verdicts = spark.read.parquet(report)
-    files.write_segments(conversion.accepted_rows(_of(lines, verdicts), verdicts), output)
+    files.write_segments(conversion.accepted_rows(lines, verdicts), output)
     return verdicts
 
 
-def _of(lines: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Lines of the files that were judged; fixes the set between the two passes."""
-    return lines.join(verdicts.select("pair_id", "source_file"), ["pair_id", "source_file"], "left_semi")
-
-
 def _converted(spark: SparkSession, found: DataFrame, output: str) -> DataFrame:
     """Input files whose output folder exists."""
     try:

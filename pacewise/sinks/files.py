@@ -1,6 +1,8 @@
 """File outputs: split rows by year and segment, segment Parquet, BI CSV, GeoJSON."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,13 +16,19 @@ SINGLE_FILE_ROWS = 1_000_000
 
 
 def write_split(
-    rows: DataFrame, root: str, year: int | None = None, append: bool = False, reset: bool = False
+    rows: DataFrame,
+    root: str,
+    year: int | None = None,
+    append: bool = False,
+    reset: bool = False,
+    sort_by: Sequence[Column] = (),
 ) -> None:
     """Headerless CSV under ``year=/pair_id=``.
 
     With ``year``, that year is replaced for all segments, including those without new rows, and
     other years stay. ``append`` adds rows, ``reset`` replaces everything. Without any of them rows
     are added. The year leads the layout so that replacing it is one overwrite of one folder.
+    ``sort_by`` orders the rows of a segment.
     """
     if reset:
         mode = "overwrite"
@@ -29,7 +37,7 @@ def write_split(
         rows, root = rows.filter(F.col("year") == year), f"{root}/year={year}"
     else:
         mode = "append"
-    laid_out = lay_out(rows, ["year", "pair_id"], ["year", "pair_id"])
+    laid_out = lay_out(rows, ["year", "pair_id"], ["year", "pair_id", *sort_by])
     if mode == "overwrite" and not reset:
         laid_out.drop("year").write.mode(mode).partitionBy("pair_id").csv(root)
         return

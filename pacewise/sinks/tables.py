@@ -2,12 +2,15 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def lay_out(
-    df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str], partitions: int | None = None
+    df: DataFrame,
+    partition_by: Sequence[str],
+    sort_by: Sequence[str | Column],
+    partitions: int | None = None,
 ) -> DataFrame:
     """Rows gathered by partition value and sorted inside each task.
 

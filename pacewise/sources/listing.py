@@ -19,3 +19,16 @@ def list_files(spark: SparkSession, folder: str, recursive: bool = True) -> Data
             raise FileNotFoundError(f"input folder not found: {folder}") from error
         raise
     return found.select(decoded_path(F.col("path")).alias("path"), "length")
+
+
+def list_empty_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """``path`` of files without a byte, which no Spark scan ever reports.
+
+    They are the names in the driver's own file index that the scan leaves out.
+    """
+    listed = list_files(spark, folder)
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    indexed = [(name,) for name in reader.text(folder).inputFiles()]
+    one_slash = F.regexp_replace(decoded_path(F.col("path")), "^file:/+", "file:/")
+    names = spark.createDataFrame(indexed, "path string").select(one_slash.alias("path"))
+    return names.join(listed.select(one_slash.alias("path")), "path", "left_anti")

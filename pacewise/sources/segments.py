@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pacewise.functions.normalize import decoded_path, parent_folder
 from pacewise.schemas import SEGMENT_COLUMNS, require_columns
-from pacewise.sources.listing import list_files
+from pacewise.sources.listing import list_empty_files, list_files
 
 
 def _pair_of(path):
@@ -16,8 +16,10 @@ def _pair_of(path):
 def list_segment_files(spark: SparkSession, root: str) -> DataFrame:
     """``source_file``, ``pair_id``, ``length`` of every CSV file that lies in a segment folder."""
     path = F.col("path")
+    empty = list_empty_files(spark, root, "*.csv").withColumn("length", F.lit(0).cast("long"))
     return (
         list_files(spark, root)
+        .unionByName(empty)
         .filter(path.endswith(".csv") & ~path.rlike("/[_.][^/]*$"))
         .select(path.alias("source_file"), _pair_of(path).alias("pair_id"), "length")
     )
@@ -43,10 +45,13 @@ def with_row_id(lines: DataFrame) -> DataFrame:
     return lines.withColumn("row_id", F.monotonically_increasing_id())
 
 
-def read_segment_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Text lines of all CSV files in segment folders below ``root``."""
-    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(root)
-    return with_row_id(line_columns(text))
+def read_segment_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Text lines of the given CSV files; only these are opened."""
+    if not files:
+        return spark.createDataFrame(
+            [], "source_file string, pair_id string, block_start long, line string, row_id long"
+        )
+    return with_row_id(line_columns(spark.read.text(files)))
 
 
 def read_segment_table(spark: SparkSession, path: str, partitioned: bool = False) -> DataFrame:

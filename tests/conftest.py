@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         .config("spark.checkpoint.dir", str(shared / "checkpoint"))
         .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

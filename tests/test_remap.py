@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from pacewise.operators import remap
+from pacewise.sinks.files import write_split
 from tests.helpers import rows
 
 MAPPING = "seq int, route string, note string, target_route string"
@@ -86,11 +87,12 @@ def test_long_chain(spark):
     assert got == Counter({(2024, "s150", *ROW): 1})
 
 
-def test_chronological_puts_unreadable_times_last(spark):
+def test_merged_files_are_chronological(spark, tmp_path):
     data = [(2024, "A", "2024/10/1", "00:05", "1", "1", "1"), (2024, "A", "x", "00:00", "1", "1", "1"),
-            (2024, "A", "2024/9/30", "23:55", "1", "1", "1")]
-    out = remap.chronological(spark.createDataFrame(data, SPLIT).coalesce(1)).collect()
-    assert [r.date for r in out] == ["2024/9/30", "2024/10/1", "x"]
+            (2024, "A", "2024/9/30", "23:55", "1", "1", "1"), (2024, "B", "2024/9/2", "23:55", "1", "1", "1")]
+    write_split(spark.createDataFrame(data, SPLIT), str(tmp_path / "m"), reset=True, sort_by=remap.chronological())
+    (part,) = (tmp_path / "m/year=2024/pair_id=A").glob("*.csv")
+    assert [line.split(",")[0] for line in part.read_text().splitlines()] == ["2024/9/30", "2024/10/1", "x"]
 
 
 def test_mapping_columns_are_required(spark):

@@ -85,7 +85,8 @@ def with_day_type(rows: DataFrame, calendar: DataFrame) -> DataFrame:
 def uncovered_dates(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     """Dates with rows but without a calendar entry, and the rows each loses."""
     return (
-        rows.groupBy("record_date")
+        rows.filter(F.col("record_date").isNotNull())
+        .groupBy("record_date")
         .agg(F.count("*").alias("lost_rows"))
         .join(calendar, F.col("record_date") == calendar.cal_date, "left_anti")
     )

@@ -1,68 +1,119 @@
-"""Consistency checks as one report: ``check, scope, bad_rows``."""
+"""Consistency checks as one report: ``check, scope, bad_rows``.
 
-from pyspark.sql import DataFrame
+Each input is read once or twice, whatever the number of checks on it: checks that share a grain
+share an aggregate.
+"""
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacewise import vocab
-from pacewise.operators.clean import uncovered_dates
-from pacewise.operators.export import missing_locations, without_coordinates
-from pacewise.operators.summary import invalid_percentiles
-from pacewise.sources.dimensions import calendar, calendar_conflicts, location_duplicates
+from pacewise.schemas import COORDINATES
+from pacewise.sources.dimensions import calendar, calendar_conflicts
+
+NULL_CHECKED = ("pair_id", "record_date", "vehicle_type", "travel_time_sec", "volume")
 
 
-def _count(rows: DataFrame, check: str, scope: str, bad=None) -> DataFrame:
-    number = F.count("*") if bad is None else F.coalesce(F.sum(bad), F.lit(0))
-    return rows.agg(number.cast("long").alias("bad_rows")).select(
-        F.lit(check).alias("check"), F.lit(scope).alias("scope"), "bad_rows"
+def _report(counted: DataFrame, checks: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Rows ``check, scope, bad_rows`` from the columns of a one-row DataFrame."""
+    items = F.array(
+        *(
+            F.struct(
+                F.lit(check).alias("check"),
+                F.lit(scope).alias("scope"),
+                F.coalesce(F.col(column).cast("long"), F.lit(0)).alias("bad_rows"),
+            )
+            for check, scope, column in checks
+        )
     )
+    return counted.select(F.explode(items).alias("item")).select("item.*")
+
+
+def row_checks(rows: DataFrame, days: DataFrame, columns: Sequence[str] = NULL_CHECKED) -> DataFrame:
+    """Null or blank values per column, and rows on dates the calendar lacks."""
 
+    def blank(name: str) -> Column:
+        return F.count_if(F.col(name).isNull() | (F.trim(F.col(name).cast("string")) == "")).alias(f"{name}_blank")
 
-def null_report(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Null or blank values per column, all counted in one pass."""
-    blank = {
-        c: F.count_if(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "")).alias(c) for c in columns
-    }
-    counted = rows.agg(*blank.values())
-    pairs = F.array(*(F.struct(F.lit(c).alias("scope"), F.col(c).alias("bad_rows")) for c in columns))
-    return counted.select(F.explode(pairs).alias("item")).select(
-        F.lit("null_or_blank").alias("check"), "item.scope", F.col("item.bad_rows").cast("long").alias("bad_rows")
+    per_date = rows.groupBy("record_date").agg(F.count("*").alias("n_rows"), *(blank(c) for c in columns))
+    joined = per_date.join(F.broadcast(days), F.col("record_date") == F.col("cal_date"), "left")
+    uncovered = F.col("record_date").isNotNull() & F.col("cal_date").isNull()
+    counted = joined.agg(
+        F.sum(F.when(uncovered, F.col("n_rows"))).alias("uncovered"),
+        *(F.sum(f"{c}_blank").alias(f"{c}_blank") for c in columns),
     )
+    checks = [("null_or_blank", c, f"{c}_blank") for c in columns] + [("uncovered_dates", "rows", "uncovered")]
+    return _report(counted, checks)
 
 
-def duplicate_observations(clean: DataFrame) -> DataFrame:
+def calendar_checks(raw_calendar: DataFrame) -> DataFrame:
+    """Dates with more than one day type."""
+    counted = calendar_conflicts(raw_calendar).agg(F.count("*").alias("dates"))
+    return _report(counted, [("calendar_conflicts", "dates", "dates")])
+
+
+def duplicate_checks(clean: DataFrame) -> DataFrame:
     """Rows beyond the first for one segment, date, minute and vehicle type."""
-    return (
-        clean.groupBy("pair_id", "record_date", "record_time_minute", "vehicle_type")
-        .agg((F.count("*") - 1).alias("extra"))
-        .filter("extra > 0")
+    extra = clean.groupBy("pair_id", "record_date", "record_time_minute", "vehicle_type").agg(
+        (F.count("*") - 1).alias("extra")
     )
+    return _report(extra.agg(F.sum("extra").alias("extra")), [("duplicate_observations", "rows", "extra")])
 
 
-def level_shortfall(summary: DataFrame) -> DataFrame:
-    """Rows each level lacks against every segment having every day type and period."""
-    days, periods = len(vocab.DAY_TYPES), len(vocab.TIME_BANDS)
-    expected = F.lit(None).cast("long")
-    for name, by_day, by_period in vocab.LEVELS:
-        cells = (days if by_day else 1) * (periods if by_period else 1)
-        expected = F.when(F.col("summary_level") == name, F.lit(cells)).otherwise(expected)
-    # L4 has exactly one row per segment, so the number of segments is its row count.
-    pairs = summary.filter(F.col("summary_level") == vocab.LEVELS[-1][0]).agg(F.count("*").alias("n")).scalar()
-    return summary.groupBy("summary_level").agg(F.count("*").alias("n_rows")).select(
-        F.lit("level_shortfall").alias("check"),
-        F.col("summary_level").alias("scope"),
-        (expected * pairs - F.col("n_rows")).cast("long").alias("bad_rows"),
+def segment_checks(summary: DataFrame, locations: DataFrame) -> DataFrame:
+    """Duplicate and missing locations, rows lost to null coordinates, and p95 below p50."""
+    incomplete = F.lit(False)
+    for name in COORDINATES:
+        incomplete = incomplete | F.col(name).isNull()
+    listed = locations.groupBy("pair_id").agg(
+        F.count("*").alias("n_locations"), F.bool_or(incomplete).alias("incomplete")
+    )
+    used = summary.groupBy("pair_id").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("p95_travel_time_sec") < F.col("p50_travel_time_sec")).alias("n_invalid"),
+    )
+    counted = used.join(listed, "pair_id", "full").agg(
+        F.count_if(F.col("n_locations") > 1).alias("duplicates"),
+        F.count_if(F.col("n_rows").isNotNull() & F.col("n_locations").isNull()).alias("missing"),
+        F.sum(F.when(F.col("incomplete"), F.col("n_rows"))).alias("lost"),
+        F.sum("n_invalid").alias("invalid"),
+    )
+    return _report(
+        counted,
+        [
+            ("location_duplicates", "pairs", "duplicates"),
+            ("missing_locations", "pairs", "missing"),
+            ("null_coordinates", "rows", "lost"),
+            ("p95_below_p50", "rows", "invalid"),
+        ],
     )
 
 
-def rollup_difference(levels: DataFrame) -> DataFrame:
-    """Volume by which each level differs from the finest one."""
-    volume = levels.groupBy("summary_level").agg(F.sum("volume").alias("volume"))
-    finest = levels.filter(F.col("summary_level") == vocab.LEVELS[2][0]).agg(F.sum("volume").alias("v")).scalar()
-    return volume.select(
-        F.lit("rollup_difference").alias("check"),
-        F.col("summary_level").alias("scope"),
-        F.abs(F.col("volume") - finest).cast("long").alias("bad_rows"),
-    )
+def level_checks(summary: DataFrame, levels: DataFrame) -> DataFrame:
+    """Per level: rows short of every segment having every cell, and volume off the finest level."""
+    counts = summary.groupBy("summary_level").agg(F.count("*").alias("n_rows"))
+    volumes = levels.groupBy("summary_level").agg(F.sum("volume").alias("volume"))
+    # Four rows, one per level; the last level has one row per segment.
+    all_levels = Window.partitionBy(F.lit(0))
+
+    def of_level(name: str, column: str) -> Column:
+        return F.max(F.when(F.col("summary_level") == name, F.col(column))).over(all_levels)
+
+    cells = F.lit(None).cast("long")
+    for name, by_day, by_period in vocab.LEVELS:
+        n = (len(vocab.DAY_TYPES) if by_day else 1) * (len(vocab.TIME_BANDS) if by_period else 1)
+        cells = F.when(F.col("summary_level") == name, F.lit(n)).otherwise(cells)
+    short = cells * of_level(vocab.LEVELS[3][0], "n_rows") - F.col("n_rows")
+    off = F.abs(F.col("volume") - of_level(vocab.LEVELS[2][0], "volume"))
+
+    def shaped(rows: DataFrame, check: str, bad: Column) -> DataFrame:
+        return rows.select(
+            F.lit(check).alias("check"), F.col("summary_level").alias("scope"), bad.cast("long").alias("bad_rows")
+        )
+
+    return shaped(counts, "level_shortfall", short).unionByName(shaped(volumes, "rollup_difference", off))
 
 
 def quality_report(
@@ -73,23 +124,11 @@ def quality_report(
     summary: DataFrame,
     locations: DataFrame,
 ) -> DataFrame:
-    """All checks over one build.
-
-    ``rows`` are the typed rows before the calendar join. Give written tables: each check reads
-    only the columns it needs.
-    """
-    report = null_report(rows, ("pair_id", "record_date", "vehicle_type", "travel_time_sec", "volume"))
-    parts = (
-        _count(uncovered_dates(rows, calendar(raw_calendar)), "uncovered_dates", "rows", F.col("lost_rows")),
-        _count(calendar_conflicts(raw_calendar), "calendar_conflicts", "dates"),
-        _count(duplicate_observations(clean), "duplicate_observations", "rows", F.col("extra")),
-        _count(location_duplicates(locations), "location_duplicates", "pairs"),
-        _count(missing_locations(summary, locations), "missing_locations", "pairs"),
-        _count(without_coordinates(summary, locations), "null_coordinates", "rows", F.col("lost_rows")),
-        _count(invalid_percentiles(summary), "p95_below_p50", "rows"),
-        level_shortfall(summary),
-        rollup_difference(levels),
+    """All checks over one build; ``rows`` are the typed rows before the calendar join."""
+    return (
+        row_checks(rows, calendar(raw_calendar))
+        .unionByName(calendar_checks(raw_calendar))
+        .unionByName(duplicate_checks(clean))
+        .unionByName(segment_checks(summary, locations))
+        .unionByName(level_checks(summary, levels))
     )
-    for part in parts:
-        report = report.unionByName(part)
-    return report

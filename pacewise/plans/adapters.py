@@ -161,22 +161,16 @@ def lane_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lane_location(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw location of the lanes whose selling nation lies in one of the first four regions.
+    """Raw location of the lanes that stay inside one region.
 
-    Lanes to the first region have no known end, as in a list that is still being filled.
+    Those of the first region have no known end, as in a list that is still being filled.
     """
-    covered = table(spark, folder, "nation").filter("n_regionkey < 4").select("n_nationkey", "n_regionkey")
-    buyers = table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("to_key"), F.col("n_regionkey").alias("to_region")
-    )
-    pairs = lane_rows(spark, folder).select("pair_id").distinct()
-    start = F.split_part(F.substring("pair_id", 2, 100), F.lit("_N"), F.lit(1)).cast("int")
-    end = F.split_part("pair_id", F.lit("_N"), F.lit(2)).cast("int")
-    known = (
-        pairs.withColumns({"start": start, "end": end})
-        .join(covered, F.col("start") == F.col("n_nationkey"))
-        .join(buyers, F.col("end") == F.col("to_key"))
-    )
-    return _raw_location(
-        known.withColumn("end", F.when(F.col("to_region") > 0, F.col("end"))), F.col("start"), F.col("end")
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
+    sellers = nations.withColumnRenamed("n_nationkey", "start")
+    buyers = nations.withColumnRenamed("n_nationkey", "end_key")
+    pairs = sellers.join(buyers, "n_regionkey").select(
+        F.concat(F.lit("N"), "start", F.lit("_N"), "end_key").alias("pair_id"),
+        "start",
+        F.when(F.col("n_regionkey") > 0, F.col("end_key")).alias("end"),
     )
+    return _raw_location(pairs, F.col("start"), F.col("end"))

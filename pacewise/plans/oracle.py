@@ -35,8 +35,9 @@ _LANES = """c AS (
     JOIN supplier ON l_suppkey = s_suppkey
   WHERE date_diff('day', o_orderdate, l_shipdate) > 0 AND CAST(l_quantity AS BIGINT) > 0)"""
 
-# Lanes that have a location: the selling nation lies in one of the first four regions.
-_KNOWN = "k AS (SELECT n_nationkey, n_regionkey FROM nation)"
+# Lanes that have a location: both nations lie in one region.
+_KNOWN = """k AS (SELECT a.n_nationkey AS s, b.n_nationkey AS d, n_regionkey AS region
+  FROM nation a JOIN nation b USING (n_regionkey))"""
 
 _LEVEL_KEYS = {
     "L1_DAY_TYPE": ("day_type", "'ALL'"),
@@ -192,7 +193,7 @@ UNION ALL SELECT * FROM (VALUES {values})"""
 
 def statements() -> dict[str, str]:
     lane_pairs = f"WITH {_LANES}, {_KNOWN}"
-    known_lane = "s IN (SELECT n_nationkey FROM k WHERE n_regionkey < 4)"
+    known_lane = "(s, d) IN (SELECT (s, d) FROM k)"
     half = "strftime(ts, '%Y%m%d') <= '20240115'"
     return {
         "split_parse": f"WITH {_EVENTS} {_SPLIT}",
@@ -316,11 +317,11 @@ def statements() -> dict[str, str]:
           GROUP BY pair_id HAVING count(DISTINCT user_id) > 1""",
         "location_missing": f"{lane_pairs} SELECT DISTINCT pair_id FROM c WHERE NOT {known_lane}",
         "location_without_coordinates": f"""WITH {_LANE_SUMMARY}, {_KNOWN}, z AS (SELECT DISTINCT pair_id FROM c
-            WHERE {known_lane} AND d IN (SELECT n_nationkey FROM k WHERE n_regionkey = 0))
+            WHERE (s, d) IN (SELECT (s, d) FROM k WHERE region = 0))
           SELECT pair_id, count(*) AS lost_rows FROM s JOIN z USING (pair_id) GROUP BY pair_id""",
         "map_join": f"WITH {_EVENT_SUMMARY}, {_LOCATIONS} SELECT * FROM s JOIN loc USING (pair_id)",
         "map_join_partial": f"""WITH {_LANE_SUMMARY}, {_KNOWN}, z AS (SELECT DISTINCT pair_id, s AS a, d AS b FROM c
-            WHERE {known_lane} AND d IN (SELECT n_nationkey FROM k WHERE n_regionkey > 0))
+            WHERE (s, d) IN (SELECT (s, d) FROM k WHERE region > 0))
           SELECT pair_id, CASE WHEN a > b THEN 'North' ELSE 'South' END AS direction,
             CAST(120 + a * 0.25 AS DOUBLE) AS start_longitude, CAST(22 + b * 0.125 AS DOUBLE) AS end_latitude,
             count(*) AS n_rows FROM s JOIN z USING (pair_id) GROUP BY pair_id, a, b""",
@@ -336,7 +337,7 @@ def statements() -> dict[str, str]:
         "lookup_level_without_period": f"""WITH {_LANE_SUMMARY} SELECT *, 'South' AS direction FROM s
           WHERE summary_level = 'L1_DAY_TYPE' AND day_type = 'Weekend'""",
         "lookup_route_name": f"""{lane_pairs} SELECT pair_id, count(*) AS n_rows,
-            CASE WHEN {known_lane} THEN 'Road ' || pair_id ELSE pair_id END AS route_name FROM c GROUP BY pair_id, s""",
+            CASE WHEN {known_lane} THEN 'Road ' || pair_id ELSE pair_id END AS route_name FROM c GROUP BY pair_id, s, d""",
         "duration_text": f"""WITH {_LANE_SUMMARY} SELECT summary_level, pair_id, day_type, time_period,
             {_DURATION.format(x="p50_travel_time_sec")} AS p50_text,
             {_DURATION.format(x="p95_travel_time_sec")} AS p95_text,

@@ -1,4 +1,8 @@
-"""Schemas by name, and the required-column check every stage starts with."""
+"""Schemas by name, and the required-column check every stage starts with.
+
+Fixed values: the column, property and filter names below are the formats of files, tables and
+documents.
+"""
 
 from collections.abc import Iterable
 

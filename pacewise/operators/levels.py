@@ -1,7 +1,8 @@
 """Histogram re-aggregated at the four summary levels, in three equivalent forms.
 
 * :func:`expand_levels` copies each histogram row to its levels and aggregates once. After a
-  repartition by segment no later step shuffles again; this is the default of the summary.
+  repartition by segment no later step shuffles again. The summary takes the copies as they are
+  (:func:`level_copies`), because percentiles do not need the aggregate.
 * :func:`grouping_sets_levels` is the same with ``GROUPING SETS``.
 * :func:`union_levels` is the union of four aggregates.
 """
@@ -95,7 +96,8 @@ def grouping_sets_levels(
     )
 
 
-def expand_levels(rows: DataFrame, levels: Sequence[tuple[str, bool, bool]] = vocab.LEVELS) -> DataFrame:
+def level_copies(rows: DataFrame, levels: Sequence[tuple[str, bool, bool]] = vocab.LEVELS) -> DataFrame:
+    """Each row once per level, not aggregated; the segment column passes through unchanged."""
     day, period, filler = F.col("day_type"), F.col("time_period"), F.lit(vocab.ALL)
     copies = F.array(
         *(
@@ -107,9 +109,14 @@ def expand_levels(rows: DataFrame, levels: Sequence[tuple[str, bool, bool]] = vo
             for name, by_day, by_period in levels
         )
     )
+    return rows.select("pair_id", F.explode(copies).alias("level"), "travel_time_sec", "volume").select(
+        "level.*", "pair_id", "travel_time_sec", "volume"
+    )
+
+
+def expand_levels(rows: DataFrame, levels: Sequence[tuple[str, bool, bool]] = vocab.LEVELS) -> DataFrame:
     return (
-        rows.select("pair_id", F.explode(copies).alias("level"), "travel_time_sec", "volume")
-        .select("level.*", "pair_id", "travel_time_sec", "volume")
+        level_copies(rows, levels)
         .groupBy("summary_level", "pair_id", "day_type", "time_period", "travel_time_sec")
         .agg(F.sum("volume").alias("volume"))
         .select(*LEVEL_COLUMNS)

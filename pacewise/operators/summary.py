@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pacewise import vocab
 from pacewise.functions import measures
-from pacewise.operators.levels import expand_levels, grouping_sets_levels, level_input, union_levels
+from pacewise.operators.levels import grouping_sets_levels, level_copies, level_input, union_levels
 from pacewise.operators.weighted import weighted_percentile_disc
 from pacewise.schemas import GROUP_COLUMNS, SUMMARY_COLUMNS
 
@@ -34,13 +34,13 @@ def summarise(histogram: DataFrame, form: str = "expand") -> DataFrame:
     """Summary of a histogram table.
 
     ``form`` picks how levels are built: ``expand`` (default), ``grouping_sets`` or ``union``.
-    With ``expand`` the histogram is repartitioned by segment once and the level aggregate, both
-    windows and the percentile aggregate all run on that partitioning. A segment's share of a
-    histogram is bounded by its distinct travel times, so one busy segment does not unbalance it.
+    With ``expand`` the histogram is repartitioned by segment once, and the copies per level, one
+    sort, both windows and the percentile aggregate all run on that partitioning. A segment's share
+    of a histogram is bounded by its cells, so one busy segment does not unbalance it.
     """
     rows = level_input(histogram)
     if form == "expand":
-        levels = expand_levels(rows.repartition("pair_id"))
+        levels = level_copies(rows.repartition("pair_id"))
     elif form == "grouping_sets":
         levels = grouping_sets_levels(rows)
     elif form == "union":

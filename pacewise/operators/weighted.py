@@ -36,8 +36,9 @@ def weighted_percentile_disc(
 ) -> DataFrame:
     """Per group, the smallest value whose running weight reaches ``num/den`` of the total.
 
-    ``rows`` hold one row per (keys, value), as every level aggregate does. A group is then no
-    larger than its number of distinct values, whatever its share of the facts, so its window
+    A value may occur in several rows: the last of them carries the full running weight, so the
+    result is the same as after summing them. Give histogram rows, not raw facts: a group is then
+    no larger than its number of histogram cells, whatever its share of the facts, and its window
     stays small. The test ``running * den >= total * num`` is exact integer arithmetic, valid
     while ``total * den`` fits a long.
     """

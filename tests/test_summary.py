@@ -73,6 +73,15 @@ def test_random_groups_against_brute_force(spark):
     assert {r.g: tuple(r)[1:] for r in scaled.collect()} == want
 
 
+def test_repeated_values_count_together(spark):
+    rng = random.Random(11)
+    data = [(rng.choice("abcd"), rng.randint(1, 9), rng.randint(1, 5)) for _ in range(300)]
+    df = spark.createDataFrame(data, "g string, t int, v long")
+    summed = df.groupBy("g", "t").agg(F.sum("v").alias("v"))
+    assert rows(weighted.weighted_percentile_disc(df, ["g"], "t", "v")) == rows(
+        weighted.weighted_percentile_disc(summed, ["g"], "t", "v"))
+
+
 def test_agrees_with_a_sorted_array_form(spark):
     """A second formulation: fold the sorted (value, weight) array of each group."""
     rng = random.Random(9)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pacewise import vocab
 from pacewise.functions.normalize import clock_digits, clock_text, hour_band, hour_of, minute_of, parse_date
+from pacewise.operators.bounded import broadcast_if_small
 from pacewise.schemas import CLEAN_COLUMNS, SEGMENT_COLUMNS, require_columns
 
 
@@ -67,7 +68,7 @@ def valid(
 
 def exclude_pairs(rows: DataFrame, excluded: DataFrame) -> DataFrame:
     """Rows of segments that are not listed; for lists too long for a literal."""
-    return rows.join(excluded.select("pair_id"), "pair_id", "left_anti")
+    return rows.join(broadcast_if_small(excluded.select("pair_id")), "pair_id", "left_anti")
 
 
 def with_day_type(rows: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -15,19 +15,29 @@ _INTEGERS = tuple(f.name for f in SEGMENT if f.name not in ("RecordDate", "Recor
 _WHOLE_NUMBER = r"^\s*-?[0-9]+\s*$"
 
 
+def _is_null(text: Column) -> Column:
+    return text.isNull() | text.isin(*vocab.NULL_SPELLINGS)
+
+
 def _typed(name: str) -> Column:
     text = F.col(name)
-    empty = text.isNull() | text.isin(*vocab.NULL_SPELLINGS)
     if name not in _INTEGERS:
-        return F.when(~empty, text)
-    return F.when(~empty & text.rlike(_WHOLE_NUMBER), F.trim(text).try_cast(SEGMENT[name].dataType))
+        return F.when(~_is_null(text), text)
+    return F.when(text.rlike(_WHOLE_NUMBER), F.trim(text).try_cast(SEGMENT[name].dataType))
 
 
-def _type_error(name: str) -> Column:
-    """True when the text is neither null nor a number that fits."""
-    text = F.col(name)
-    present = text.isNotNull() & ~text.isin(*vocab.NULL_SPELLINGS)
-    return present & _typed(name).isNull()
+def _cells() -> Column:
+    """The cells of ``line`` as texts; ``misfit`` is set when there are not five."""
+    names = ", ".join(f"{n} string" for n in SEGMENT_COLUMNS)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "misfit"}
+    return F.from_csv("line", F.lit(f"{names}, misfit string"), options)
+
+
+def _is_header(cells: Column) -> Column:
+    header = F.lit(False)
+    for name in SEGMENT_COLUMNS:
+        header = header | F.lower(F.trim(F.coalesce(cells[name], F.lit("")))).isin(*vocab.HEADER_WORDS)
+    return header
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -35,21 +45,13 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
     Blank lines are dropped.
     """
-    cells = ", ".join(f"{n} string" for n in SEGMENT_COLUMNS)
-    parsed = F.from_csv(
-        "line", F.lit(f"{cells}, misfit string"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "misfit"}
-    )
     kept = [c for c in lines.columns if c != "line"]
-    rows = lines.filter(F.col("line") != "").withColumn("cells", parsed).select(*kept, "cells.*")
-    header = F.lit(False)
-    for name in SEGMENT_COLUMNS:
-        header = header | F.lower(F.trim(F.coalesce(F.col(name), F.lit("")))).isin(*vocab.HEADER_WORDS)
+    rows = lines.filter(F.col("line") != "").select(*kept, _cells().alias("cells"))
     wrong_type = F.lit(False)
     for name in _INTEGERS:
-        wrong_type = wrong_type | _type_error(name)
-    return rows.withColumns(
-        {"header": header, "wrong_arity": F.col("misfit").isNotNull(), "wrong_type": wrong_type}
-    ).drop("misfit")
+        wrong_type = wrong_type | (~_is_null(F.col(name)) & _typed(name).isNull())
+    flags = {"wrong_arity": F.col("misfit").isNotNull(), "wrong_type": wrong_type}
+    return rows.select(*kept, "cells.*", _is_header(F.col("cells")).alias("header")).withColumns(flags).drop("misfit")
 
 
 def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
@@ -100,8 +102,10 @@ def accepted_rows(lines: DataFrame, verdicts: DataFrame) -> DataFrame:
     broadcast and the rows stay where they were read.
     """
     failed = broadcast_if_small(verdicts.filter("status = 'failed'").select("pair_id", "source_file"))
-    rows = parse_lines(lines).filter(~F.col("header"))
-    return rows.join(failed, ["pair_id", "source_file"], "left_anti").select(
+    kept = lines.filter(F.col("line") != "").join(failed, ["pair_id", "source_file"], "left_anti")
+    # A filter on the parsed cells would be pushed down and parse each line once more per cell.
+    rows = F.inline(F.filter(F.array(_cells()), lambda cells: ~_is_header(cells)))
+    return kept.select("pair_id", "source_file", rows).select(
         "pair_id", "source_file", *(_typed(n).alias(n) for n in SEGMENT_COLUMNS)
     )
 

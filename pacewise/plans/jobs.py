@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from pacewise import vocab
 from pacewise.operators import conversion
 from pacewise.operators.bounded import checkpointed
-from pacewise.operators.clean import build_clean
+from pacewise.operators.clean import build_clean, typed
 from pacewise.operators.export import check_locations, with_location
 from pacewise.operators.histogram import histogram
+from pacewise.operators.levels import expand_levels, level_input, sentinel_rows
+from pacewise.operators.quality import quality_report
 from pacewise.operators.remap import chronological, merge_rules, merge_segments
 from pacewise.operators.split import observe_feed, only_known_pairs, split_feed
 from pacewise.operators.summary import invalid_percentiles, level_counts, summarise
@@ -156,13 +158,40 @@ def build_summary(
     overwrite: bool = False,
     fmt: str = "parquet",
 ) -> tuple[DataFrame, int]:
-    """Histogram table to the summary table; returns rows per level and the count of p95 < p50."""
-    result = summarise(spark.table(histogram_table))
+    """Histogram table to the summary table; returns rows per level and the count of p95 < p50.
+
+    A day type or period that equals the filler of higher levels raises.
+    """
+    source = spark.table(histogram_table)
+    if not sentinel_rows(level_input(source)).isEmpty():
+        raise ValueError(f"{histogram_table} uses {vocab.ALL!r} as a day type or time period")
+    result = summarise(source)
     tables.write_summary(result, table, output_partitions, overwrite=overwrite, fmt=fmt)
     written = spark.table(table)
     return level_counts(written).orderBy("summary_level"), invalid_percentiles(written).count()
 
 
+def quality(
+    spark: SparkSession,
+    segments: str,
+    calendar_path: str,
+    clean_table: str,
+    histogram_table: str,
+    summary_table: str,
+    location_path: str,
+    partitioned: bool = True,
+) -> DataFrame:
+    """Quality report over the data sets of one build."""
+    return quality_report(
+        typed(read_segment_table(spark, segments, partitioned)),
+        read_dimension(spark, calendar_path),
+        spark.table(clean_table),
+        expand_levels(level_input(spark.table(histogram_table))),
+        spark.table(summary_table),
+        location(read_dimension(spark, location_path)),
+    )
+
+
 def export_geojson(
     spark: SparkSession,
     summary_table: str,

@@ -73,6 +73,21 @@ def test_tables(spark, built):
     assert (l4.p50_travel_time_sec, l4.p95_travel_time_sec, l4.reliability_level) == (130, 140, "穩定")
 
 
+def test_quality_of_the_build(spark, built):
+    _, paths, _, _ = built
+    report = jobs.quality(spark, paths["segments"], paths["calendar.csv"], "built.clean", "built.histogram", "built.summary",
+                          paths["location.csv"])
+    bad = {(r.check, r.scope): r.bad_rows for r in report.collect() if r.bad_rows}
+    # The clean rows of the three days (5, 5 and 2) share one minute and vehicle type per day.
+    assert bad == {("duplicate_observations", "rows"): 4 + 4 + 1, ("level_shortfall", "L2_TIME_PERIOD"): 3, ("level_shortfall", "L3_DAY_TYPE_TIME_PERIOD"): 8}
+
+
+def test_filler_in_the_histogram_raises(spark, built):
+    spark.table("built.histogram").withColumn("day_type", F.lit("ALL")).write.mode("overwrite").saveAsTable("built.mixed")
+    with pytest.raises(ValueError, match="'ALL'"):
+        jobs.build_summary(spark, "built.mixed", "built.never")
+
+
 def test_create_only_unless_overwrite(spark, built):
     with pytest.raises(AnalysisException, match="already exists|ALREADY_EXISTS"):
         jobs.build_histogram(spark, "built.clean", "built.histogram")

@@ -109,6 +109,7 @@ def write_geojson(located: DataFrame, path: str, overwrite: bool = False, collec
 
 def _collection_lines(lines: DataFrame) -> DataFrame:
     """Feature lines with the opening and closing line of a collection around them."""
+    # The window is one task, as is the document; the caller has checked the number of rows.
     is_last = F.lead(F.lit(1)).over(Window.orderBy(*GROUP_COLUMNS)).isNull()
     body = lines.withColumn(
         "value", F.concat("value", F.when(is_last, F.lit("")).otherwise(F.lit(",")))

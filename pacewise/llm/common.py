@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Upper-case letters that operators lower; others keep their case.
@@ -35,13 +36,27 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def by_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator], Iterator]:
-    """A function for mapInArrow that turns each batch into one batch."""
+#: Bytes of text that a worker works on at once; one longer text is worked on alone.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batch: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
+    """The batch cut so that the texts of a slice have SLICE_BYTES at most."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
+    place = np.cumsum(sizes) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def by_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch], text_at: int = 1) -> Callable[[Iterator], Iterator]:
+    """A function for mapInArrow that turns each slice of a batch into one batch."""
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
+            for some in slices(batch, text_at):
+                yield function(some)
 
     return run
 
@@ -109,6 +124,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorting beats numpy's hash table on millions of keys."""
+    keys = np.sort(keys)
+    keep = np.ones(len(keys), dtype=bool)
+    keep[1:] = keys[1:] != keys[:-1]
+    return keys[keep]
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and how often each occurs."""
+    keys = np.sort(keys)
+    starts = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), dtype=bool), keys[1:] != keys[:-1])))
+    return keys[starts], np.diff(np.concatenate((starts, [len(keys)])))
+
+
 def flags(pattern: bytes) -> np.ndarray:
     """256 flags: the single bytes that match a class such as ``[0-9a-z]``; bytes from 128 on always do."""
     rule = re.compile(pattern)

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacewise.llm import token_counts
+from pacewise.llm import quality, token_counts
 from pacewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,3 +25,8 @@ def registry() -> dict[str, Query]:
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+@_query
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), folds=3, fold=1)

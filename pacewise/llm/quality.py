@@ -186,7 +186,7 @@ def class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                         names=["chunk", "at", "n"],
                     )
 
-    def add(key, group: pa.Table) -> pa.Table:
+    def add(key, group):
         total = np.zeros(_CHUNK, dtype=np.int64)
         for at, n in zip(group.column("at").to_pylist(), group.column("n").to_pylist(), strict=True):
             total[np.frombuffer(at, "<i4")] += np.frombuffer(n, "<i8")

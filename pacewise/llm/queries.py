@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacewise.llm import quality, token_counts
+from pacewise.llm import language, quality, token_counts
 from pacewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+@_query
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identified(table(spark, folder, "documents"), folds=4, fold=2)
+
+
 @_query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")

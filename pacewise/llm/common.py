@@ -95,6 +95,7 @@ class Words:
         self.starts, self.ends = edge[0::2], edge[1::2]
         sizes = np.fromiter(map(len, lowered), dtype=np.int64, count=len(lowered)) + 1
         bounds = np.concatenate(([0], np.cumsum(sizes)))
+        self.text_starts = bounds[:-1]
         self.first = np.searchsorted(self.starts, bounds)
         self.of = np.repeat(np.arange(len(texts)), np.diff(self.first))
         self.hashes = self._hash(data)

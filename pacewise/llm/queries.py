@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacewise.llm import language, quality, token_counts
+from pacewise.llm import decontamination, language, quality, token_counts
 from pacewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,8 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), folds=3, fold=1)
+
+
+@_query
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.hit_counts(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

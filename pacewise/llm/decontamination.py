@@ -206,7 +206,7 @@ def contaminations(docs: DataFrame, items: DataFrame) -> DataFrame:
     frame = docs.withColumns({names[0]: F.lit(0).cast("long"), names[1]: F.array().cast("array<bigint>"), names[2]: F.array().cast("array<string>")})
     text_at = [c.lower() for c in docs.columns].index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
-    width = len(docs.columns)
+    width, columns = len(docs.columns), frame.columns
 
     def searcher(shared):
         def search(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -223,7 +223,7 @@ def contaminations(docs: DataFrame, items: DataFrame) -> DataFrame:
             if len(batch.column(width + 1).values):
                 spans = pa.array([_merged(a, b) for a, b in zip(batch.column(width + 1).to_pylist(), spans.to_pylist(), strict=True)], pa.list_(pa.int64()))
             counts = pa.array(np.diff(words.first), pa.int64())
-            return pa.RecordBatch.from_arrays([*batch.columns[:width], counts, spans, found], names=frame.columns)
+            return pa.RecordBatch.from_arrays([*batch.columns[:width], counts, spans, found], names=columns)
 
         return search
 
@@ -267,15 +267,16 @@ def without_spans(text: str, spans: list[int]) -> str:
 def cleaned(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` with the passages of the benchmark cut out of their texts; all other columns stay."""
     found = contaminations(docs, items)
-    text_at, spans_at = [c.lower() for c in docs.columns].index("text"), len(docs.columns) + 1
+    names = docs.columns
+    text_at, width = [c.lower() for c in names].index("text"), len(names)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns = list(batch.columns[: len(docs.columns)])
-        if len(batch.column(spans_at).values):
-            pairs = zip(columns[text_at].to_pylist(), batch.column(spans_at).to_pylist(), strict=True)
+        columns, spans = list(batch.columns[:width]), batch.column(width + 1)
+        if len(spans.values):
+            pairs = zip(columns[text_at].to_pylist(), spans.to_pylist(), strict=True)
             columns[text_at] = pa.array([without_spans(t, s) if s else t for t, s in pairs], pa.string())
-        return pa.RecordBatch.from_arrays(columns, names=docs.columns)
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     return found.mapInArrow(by_batch(cut, text_at), schema)
 

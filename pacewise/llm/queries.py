@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacewise.llm import decontamination, language, quality, token_counts
+from pacewise.llm import decontamination, language, packing, quality, token_counts
 from pacewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +40,9 @@ def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.hit_counts(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@_query
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return packing.piece_digests(packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), length=4096, end_id=2))

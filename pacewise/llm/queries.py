@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacewise.llm import decontamination, language, packing, quality, token_counts
+from pacewise.llm import decontamination, language, licenses, packing, personal_data, quality, token_counts
 from pacewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,17 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+@_query
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licenses(table(spark, folder, "documents")).drop("detections")
+
+
+@_query
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return personal_data.personal_data(docs, personal_data.fit(docs))
+
+
 @_query
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(table(spark, folder, "documents"), folds=4, fold=2)

@@ -1,13 +1,11 @@
 """Document quality by naive Bayes support vectors.
 
 Features are indicators of hashed n-grams: words and pairs of words, runs of character kinds ("shape":
-lower case, upper case, digit, blank, line end, each other sign), and words or lines that repeat what
-came before, with the rough number of repeats. Training takes three steps:
+what came before, with the rough number of repeats. Training takes three steps:
 
-1. The class counts of every feature over **all** labelled training rows, summed map-side into vectors
-   of fixed size and then by chunk of the vector; from them each feature's log-count ratio.
-2. A sample of the training rows, at most ``sample`` (a documented bound; the rows with the smallest
-   hash of their id), goes to the driver as feature numbers.
+1. A sample of the labelled training rows, at most ``sample`` (a documented bound; the ids with the smallest hash), is
+   turned into feature numbers on the executors.
+2. Each feature's log-count ratio of the two classes.
 3. A linear hinge-loss model on the indicators scaled by their ratios, by dual coordinate descent.
 
 The fitted model, two vectors of fixed size, is broadcast; scoring is a narrow map over whole texts.
@@ -15,7 +13,6 @@ The fitted model, two vectors of fixed size, is broadcast; scoring is a narrow m
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,12 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pacewise.llm.common import NOT_SPACE, Words, by_batch, counted, distinct, mix, slices
+from pacewise.llm.common import NOT_SPACE, Words, by_batch, counted, distinct, mix
 
 #: Bits of a feature number; every vector of the model has this many entries.
 BITS = 18
 SIZE = 1 << BITS
-_CHUNK = 1 << 12
 _RAW_SPACE = NOT_SPACE
 
 
@@ -167,64 +163,35 @@ def _slope(margins: np.ndarray, signs: np.ndarray, weights: np.ndarray) -> float
     return min(choices, key=lambda s: float((weights * np.logaddexp(0, -s * signs * margins)).sum()))
 
 
-def class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Over all ``rows`` (text, quality): in how many texts of each class each feature occurs."""
-
-    def count(batches):
-        counts = np.zeros((2, SIZE), dtype=np.int64)
-        for batch in (some for whole in batches for some in slices(whole, 0)):
-            texts, quality = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist())
-            at, number = features(texts)
-            for label in (0, 1):
-                counts[label] += np.bincount(number[quality[at] == label], minlength=SIZE)
-        for at in range(0, SIZE, _CHUNK):
-            for label in (0, 1):
-                some = np.flatnonzero(counts[label, at : at + _CHUNK])
-                if len(some):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([label * SIZE + at], pa.int32()), pa.array([some.astype("<i4").tobytes()]), pa.array([counts[label, at + some].astype("<i8").tobytes()])],
-                        names=["chunk", "at", "n"],
-                    )
-
-    def add(key, group):
-        total = np.zeros(_CHUNK, dtype=np.int64)
-        for at, n in zip(group.column("at").to_pylist(), group.column("n").to_pylist(), strict=True):
-            total[np.frombuffer(at, "<i4")] += np.frombuffer(n, "<i8")
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "total": pa.array([total.tobytes()])})
-
-    counted = rows.select("text", "quality").mapInArrow(count, "chunk int, at binary, n binary")
-    totals = np.zeros(2 * SIZE)
-    for row in counted.groupBy("chunk").applyInArrow(add, "chunk int, total binary").collect():  # a model's fixed size
-        totals[row.chunk : row.chunk + _CHUNK] = np.frombuffer(row.total, "<i8")
-    return totals[SIZE:], totals[:SIZE]
-
-
-def fit(rows: DataFrame, sample: int = 8000, cost: float = 1.0, epochs: int = 12) -> Model:
-    """A model from ``rows`` (doc_id, text, quality), labelled training rows; rows with a null label are
-    left out. Without rows of one class, every score is 0.5 or leans to the class that there is."""
-    rows = rows.select("doc_id", "text", F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
-    good, bad = class_counts(rows)
-    ratios = log_count_ratios(good, bad)
+def fit_rows(rows: list[np.ndarray], labels: np.ndarray, cost: float, epochs: int) -> Model:
+    """A model from the feature numbers of each row."""
+    sums = [np.bincount(np.concatenate([r for r, y in zip(rows, labels, strict=True) if y == label] or [np.empty(0, np.int64)]), minlength=SIZE) for label in (0, 1)]
+    return fit_hinge(rows, labels, log_count_ratios(sums[1], sums[0]), cost, epochs)
+
+
+def fit(docs: DataFrame, labels: DataFrame, folds: int = 0, fold: int = 0, sample: int = 12_000, cost: float = 1.0, epochs: int = 12) -> Model:
+    """A model from at most ``sample`` labelled documents, those whose ids have the smallest hash.
+
+    With ``folds``, rows of one fold of crc32(doc_id) are left out. A doc_id with several labels counts with the largest;
+    null ids and labels, labels but 0 and 1 and labels without a document are left out. Without rows of a class, scores lean
+    to the class that there is. The chosen ids are broadcast (``sample`` bounds them), so no text is shuffled.
+    """
+    wanted = labels.where("doc_id is not null and quality in (0, 1)")
+    if folds:
+        wanted = wanted.where(~in_fold(F.col("doc_id"), folds, fold))
+    one = wanted.groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
+    chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def numbered(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(1).to_pylist()
-        at, number = features(texts)
-        cuts = np.searchsorted(at, np.arange(1, len(texts)))
+        at, number = features(batch.column(1).to_pylist())
+        cuts = np.searchsorted(at, np.arange(1, batch.num_rows))
         each = [part.astype("<i4").tobytes() for part in np.split(number, cuts)]
-        return pa.RecordBatch.from_arrays([batch.column(2), pa.array(each)], names=["quality", "numbers"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(each, pa.binary())], names=["quality", "numbers"])
 
-    chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "quality").limit(sample)
-    got = chosen.select("doc_id", "text", "quality").mapInArrow(by_batch(numbered), "quality int, numbers binary").collect()
+    training = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
+    got = training.mapInArrow(by_batch(numbered), "quality int, numbers binary").collect()
     got.sort(key=lambda r: (r.quality, r.numbers))
-    labels = np.array([r.quality for r in got], dtype=np.int64)
-    return fit_hinge([np.frombuffer(r.numbers, "<i4") for r in got], labels, ratios, cost, epochs)
-
-
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and quality of the documents with a label. A doc_id with several labels counts once,
-    with the larger; labels without a document, and null labels or ids, are left out."""
-    one = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    return docs.select("doc_id", "text").join(one, "doc_id")
+    return fit_rows([np.frombuffer(r.numbers, "<i4") for r in got], np.array([r.quality for r in got], dtype=np.int64), cost, epochs)
 
 
 def in_fold(doc_id: Column, folds: int, fold: int) -> Column:
@@ -248,15 +215,9 @@ def scored(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
     return frame.mapInArrow(by_batch(score, text_at), schema)
 
 
-def fit_outside(docs: DataFrame, labels: DataFrame, folds: int, fold: int, fitter: Callable[[DataFrame], Model] = fit) -> Model:
-    """A model that never saw rows of one fold of crc32(doc_id)."""
-    rows = labelled(docs, labels)
-    return fitter(rows.where(~in_fold(F.col("doc_id"), folds, fold)))
-
-
 def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1) -> DataFrame:
     """doc_id, held_out, score and predicted of every row. Null doc_ids are not held out; rows with
     repeated ids are scored each. Empty tables give an empty result."""
-    found = scored(docs, fit_outside(docs, labels, folds, fold))
+    found = scored(docs, fit(docs, labels, folds, fold))
     return found.select(
         "doc_id", in_fold(F.col("doc_id"), folds, fold).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

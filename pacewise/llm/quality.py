@@ -1,7 +1,8 @@
 """Document quality by naive Bayes support vectors.
 
 Features are indicators of hashed n-grams: words and pairs of words, runs of character kinds ("shape":
-what came before, with the rough number of repeats. Training takes three steps:
+lower case, upper case, digit, blank, line end, each other sign), and words or pairs that repeat what
+came before, with the rough number of repeats. Training takes three steps:
 
 1. A sample of the labelled training rows, at most ``sample`` (a documented bound; the ids with the smallest hash), is
    turned into feature numbers on the executors.
@@ -169,7 +170,7 @@ def fit_rows(rows: list[np.ndarray], labels: np.ndarray, cost: float, epochs: in
     return fit_hinge(rows, labels, log_count_ratios(sums[1], sums[0]), cost, epochs)
 
 
-def fit(docs: DataFrame, labels: DataFrame, folds: int = 0, fold: int = 0, sample: int = 12_000, cost: float = 1.0, epochs: int = 12) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, folds: int = 0, fold: int = 0, sample: int = 8_000, cost: float = 1.0, epochs: int = 12) -> Model:
     """A model from at most ``sample`` labelled documents, those whose ids have the smallest hash.
 
     With ``folds``, rows of one fold of crc32(doc_id) are left out. A doc_id with several labels counts with the largest;

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacewise.llm import decontamination, language, licenses, packing, personal_data, quality, token_counts
+from pacewise.llm import decontamination, language, licenses, packing, personal_data, quality, shingle_join, token_counts
 from pacewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+@_query
+def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return shingle_join.classes(table(spark, folder, "documents"), width=5, percent=75)
+
+
 @_query
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses(table(spark, folder, "documents")).drop("detections")

@@ -83,8 +83,6 @@ class Words:
     text of word i, ``first[t]`` the first word of text t (one entry more than texts).
     """
 
-    _POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15 | 1, dtype=np.uint64))
-
     def __init__(self, texts: list[str | None], is_word: np.ndarray):
         lowered = [b"" if t is None else t.encode("utf-8", "surrogatepass").lower() for t in texts]
         data = np.frombuffer(b"\n".join(lowered) + b"\n", dtype=np.uint8)
@@ -98,22 +96,26 @@ class Words:
         self.text_starts = bounds[:-1]
         self.first = np.searchsorted(self.starts, bounds)
         self.of = np.repeat(np.arange(len(texts)), np.diff(self.first))
-        self.hashes = self._hash(data)
+        self.hashes = hashes(data, self.starts, self.ends)
         self.data = data
 
-    def _hash(self, data: np.ndarray) -> np.ndarray:
-        """Each word's bytes as digits of a number to an odd base, mixed; chunked to bound memory."""
-        out = np.empty(len(self.starts), dtype=np.uint64)
-        step = 1 << 18
-        for at in range(0, len(out), step):
-            starts, ends = self.starts[at : at + step], self.ends[at : at + step]
-            sizes = ends - starts
-            firsts = np.cumsum(sizes) - sizes
-            place = np.arange(int(sizes.sum())) - np.repeat(firsts, sizes)
-            letters = data[place + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)
-            weights = self._POWERS[place & 4095] + (place >> 12).astype(np.uint64)
-            out[at : at + step] = np.add.reduceat(mix(letters) * weights, firsts) if len(firsts) else 0
-        return mix(out)
+
+_POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, dtype=np.uint64))
+
+
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each stretch of bytes: digits of a number to an odd base, mixed; chunked to bound memory."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    step = 1 << 18
+    for at in range(0, len(out), step):
+        begins = starts[at : at + step]
+        sizes = ends[at : at + step] - begins
+        firsts = np.cumsum(sizes) - sizes
+        place = np.arange(int(sizes.sum())) - np.repeat(firsts, sizes)
+        letters = data[place + np.repeat(begins, sizes)].astype(np.uint64) + np.uint64(1)
+        weights = _POWERS[place & 4095] + (place >> 12).astype(np.uint64)
+        out[at : at + step] = np.add.reduceat(mix(letters) * weights, firsts)
+    return mix(out)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

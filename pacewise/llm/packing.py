@@ -19,28 +19,58 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacewise.llm.common import by_batch, mix, written
+from pacewise.llm.common import by_batch, hashes, mix, slices, written
 
 #: Ids of a sequence.
 LENGTH = 4096
 #: Dimensions of the vectors, and bits of the curve for each.
 DIMENSIONS, CURVE_BITS = 4, 8
-#: Most pieces of text that a worker keeps, and the longest.
-CACHE_PIECES, KEPT_CHARS = 1_000_000, 64
-#: White space for Python but not for the tokenizer.
-_CONTROL = re.compile("[\x1c-\x1f]")
-#: Characters that the tokenizer's normal form leaves as they are but for lower case, and its words over them in lower case.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]{1,64}")
-_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: Most words that a worker keeps, and the bytes of the longest.
+CACHE_WORDS, KEPT_BYTES = 3_000_000, 64
+#: Anything but white space and the characters that the tokenizer's normal form leaves as they are, but for lower case.
+_ODD = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]")
+_SPACE, _LETTER, _DIGIT, _SIGN = range(4)
 _workers: dict[str, _Encoder] = {}
 
 
+def _classes() -> np.ndarray:
+    kinds = np.full(256, _SIGN, dtype=np.uint8)
+    kinds[[9, 10, 11, 12, 13, 32]] = _SPACE
+    kinds[ord("a") : ord("z") + 1] = kinds[128:] = _LETTER
+    kinds[ord("0") : ord("9") + 1] = _DIGIT
+    return kinds
+
+
+_KINDS = _classes()
+
+
+def word_edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the tokenizer's words in lower-case bytes that end with white space: runs of letters, single
+    digits, runs of signs; an apostrophe that begins a run of signs takes the ending s, t, m, d, re, ve or ll behind it."""
+    kinds = _KINDS[data]
+    begins = np.empty(len(kinds), dtype=bool)
+    begins[0] = kinds[0] != _SPACE
+    begins[1:] = (kinds[1:] != _SPACE) & ((kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT))
+    marks = np.flatnonzero(data[:-2] == ord("'"))
+    if len(marks):
+        marks = marks[begins[marks]]
+        one, two = data[marks + 1], data[marks + 2]
+        short = np.isin(one, list(b"stmd"))
+        long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+        for chosen, size in ((marks[short], 2), (marks[long], 3)):
+            begins[chosen + 1] = False
+            begins[chosen + size] = kinds[chosen + size] != _SPACE
+    stops = np.flatnonzero(begins | (kinds == _SPACE))
+    starts = np.flatnonzero(begins)
+    return starts, stops[np.searchsorted(stops, starts) + 1]
+
+
 class _Encoder:
-    """Token ids by the library, for pieces between white space, with a cache of pieces.
+    """Token ids by the library, for the tokenizer's words, with a compact cache of words by hash.
 
-    The tokenizer's rules drop white space and never look across it, so a text's ids are those of its pieces.
-    A new piece of plain letters, digits and signs is cut by the tokenizer's own rules into words, which are encoded
-    apart from each other; only words not seen before go to the library, many at a time.
+    The tokenizer encodes each of its words apart from the others, so a text's ids are those of its words; only words not seen before
+    go to the library, many at a time. A text with characters beyond plain Latin ones, or what may be the string of a special
+    token, goes to the library as a whole.
     """
 
     def __init__(self, path: str):
@@ -50,38 +80,60 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.seen: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self._clear()
 
-    def _learn(self, words: list[str]) -> None:
-        """The ids of new words, each of which the tokenizer takes as one."""
+    def _clear(self) -> None:
+        self.known = np.full(1, np.iinfo(np.uint64).max, dtype=np.uint64)
+        self.start, self.size = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.flat = np.empty(0, dtype=np.uint16)
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Adds words, which the tokenizer takes as one each, under sorted keys that are new."""
+        ids, sizes = [], []
         for at in range(0, len(words), 5_000):
             some = words[at : at + 5_000]
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4")
-            cuts = np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1)).tolist()
-            self.words.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, cuts, cuts[1:], strict=False))
-
-    def encoded(self, pieces: list[str]) -> list[bytes]:
-        cut = [_WORD.findall(p.lower()) if _PLAIN.fullmatch(p) and "<|" not in p else None for p in pieces]
-        self._learn(list(set().union(*(c for c in cut if c)).difference(self.words)))
-        get = self.words.__getitem__
-        return [b"".join(map(get, c)) if c else self._alone(p) for p, c in zip(pieces, cut, strict=True)]
-
-    def _alone(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [[t] if _CONTROL.search(t) else t.split() for t in texts]
-        if len(self.seen) + len(self.words) > CACHE_PIECES:
-            self.seen, self.words = {}, {}
-        new = list(set().union(*split).difference(self.seen)) if split else []
-        extra = dict(zip(new, self.encoded(new), strict=True))
-        self.seen.update((p, b) for p, b in extra.items() if len(p) <= KEPT_CHARS)
-        long = {p: b for p, b in extra.items() if len(p) > KEPT_CHARS}
-        get = (self.seen | long).__getitem__ if long else self.seen.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in split]
+            ids.append(_narrow(found.ids))
+            sizes.append(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(some)))
+        size = np.concatenate(sizes)
+        place = np.searchsorted(self.known, keys)
+        self.start = np.insert(self.start, place, len(self.flat) + np.cumsum(size) - size)
+        self.size = np.insert(self.size, place, size)
+        self.known = np.insert(self.known, place, keys)
+        self.flat = np.concatenate([self.flat, *ids])
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, 16 bits each."""
+        odd = [bool(_ODD.search(t)) or "<|" in t for t in texts]
+        raw = [b"" if o else t.lower().encode() for t, o in zip(texts, odd, strict=True)]
+        data = np.frombuffer(b" ".join(raw) + b"   ", dtype=np.uint8)
+        starts, ends = word_edges(data)
+        keys = hashes(data, starts, ends)
+        if len(self.known) > CACHE_WORDS:
+            self._clear()
+        order = np.argsort(keys)  # sorted look-ups touch the cache in order
+        ranked = keys[order]
+        found = np.searchsorted(self.known, ranked)
+        fresh = self.known[np.minimum(found, len(self.known) - 1)] != ranked
+        fresh[1:] &= ranked[1:] != ranked[:-1]
+        if fresh.any():
+            whole, first = data.tobytes(), order[fresh]
+            self._learn(keys[first], [whole[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+            found = np.searchsorted(self.known, ranked)
+        at = np.empty(len(keys), dtype=np.int64)
+        at[order] = found
+        size = self.size[at]
+        flat = self.flat[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        bounds = np.cumsum([0, *(len(r) + 1 for r in raw)])
+        cuts = np.concatenate(([0], np.cumsum(size)))[np.searchsorted(starts, bounds)]
+        return [_narrow(self.tokenizer.encode(t, add_special_tokens=False).ids) if o else flat[a:b] for t, o, a, b in zip(texts, odd, cuts, cuts[1:], strict=False)]
+
+
+def _narrow(ids: list[int]) -> np.ndarray:
+    found = np.array(ids, dtype=np.int64)
+    if found.max(initial=0) >= 1 << 16:
+        raise ValueError("token ids of 65,536 and more do not fit")
+    return found.astype(np.uint16)
 
 
 def directions(ids: np.ndarray, dimensions: int) -> np.ndarray:
@@ -123,7 +175,7 @@ def curve_keys(ids: list[np.ndarray], dimensions: int = DIMENSIONS, bits: int =
     starts = np.cumsum(sizes) - sizes
     table = directions(np.arange(1 << 16), dimensions)
     every = np.concatenate(ids)
-    sums = np.stack([np.add.reduceat(table[every & 0xFFFF, d], starts) for d in range(dimensions)], axis=1)
+    sums = np.stack([np.add.reduceat(table[every, d], starts) for d in range(dimensions)], axis=1)
     place = np.arctan(sums / np.sqrt(sizes)[:, None] / 4) / np.pi + 0.5
     return hilbert_keys(np.minimum((place * (1 << bits)).astype(np.int64), (1 << bits) - 1), bits)
 
@@ -135,9 +187,8 @@ def keyed(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         if tokenizer not in _workers:
             _workers[tokenizer] = _Encoder(tokenizer)
         texts = [t or "" for t in batch.column(1).to_pylist()]
-        ids = [np.append(np.frombuffer(b, "<u4"), np.uint32(end_id)) for b in _workers[tokenizer].ids(texts)]
-        if max(int(i.max()) for i in ids) >= 1 << 16:
-            raise ValueError("token ids of 65,536 and more do not fit")
+        end = _narrow([end_id])
+        ids = [np.concatenate((i, end)) for i in _workers[tokenizer].ids(texts)]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(curve_keys(ids)), pa.array([i.astype("<u2").tobytes() for i in ids], pa.binary())], names=["doc_id", "key", "ids"])
 
@@ -161,7 +212,7 @@ def packed(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
 
     def pour(batches) -> Iterator[pa.RecordBatch]:
         sequence, offset = 0, 0
-        for batch in batches:
+        for batch in (some for whole in batches for some in slices(whole, 1)):
             pieces: list[list] = [[] for _ in range(6)]
             for doc, raw, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 ids, start = np.frombuffer(raw, "<u2").astype(np.int32), 0

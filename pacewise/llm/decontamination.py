@@ -13,7 +13,6 @@ own over the documents; documents are never shuffled.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from dataclasses import dataclass
 
@@ -265,21 +264,25 @@ def without_spans(text: str, spans: list[int]) -> str:
 
 
 def cleaned(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` with the passages of the benchmark cut out of their texts; all other columns stay."""
+    """``docs`` with the passages of the benchmark cut out of their texts; all other columns stay, but for ``n_chars``, which follows
+    the text. A row whose words all go is left out; rows without any passage stay as they are."""
     found = contaminations(docs, items)
-    names = docs.columns
-    text_at, width = [c.lower() for c in names].index("text"), len(names)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    names, schema = docs.columns, docs.schema
+    lower = [c.lower() for c in names]
+    text_at, size_at, width = lower.index("text"), lower.index("n_chars") if "n_chars" in lower else None, len(names)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns, spans = list(batch.columns[:width]), batch.column(width + 1)
-        if len(spans.values):
-            pairs = zip(columns[text_at].to_pylist(), spans.to_pylist(), strict=True)
-            columns[text_at] = pa.array([without_spans(t, s) if s else t for t, s in pairs], pa.string())
-        return pa.RecordBatch.from_arrays(columns, names=names)
+        if not len(spans.values):
+            return pa.RecordBatch.from_arrays(columns, names=names)
+        words, each, texts = batch.column(width).to_pylist(), spans.to_pylist(), columns[text_at].to_pylist()
+        hit = [sum(s[i + 1] - s[i] for i in range(0, len(s), 4)) for s in each]
+        texts = [without_spans(t, s) if s else t for t, s in zip(texts, each, strict=True)]
+        columns[text_at] = pa.array(texts, pa.string())
+        if size_at is not None:
+            sizes = [len(t) if s else n for t, s, n in zip(texts, each, columns[size_at].to_pylist(), strict=True)]
+            columns[size_at] = pa.array(sizes, columns[size_at].type)
+        kept = [not h or h < w for h, w in zip(hit, words, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(kept, pa.bool_()))
 
     return found.mapInArrow(by_batch(cut, text_at), schema)
-
-
-def digest(item_ids: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(item_ids)).encode()).hexdigest()

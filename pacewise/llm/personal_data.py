@@ -390,16 +390,21 @@ def redact(text: str, spans: list[Span]) -> str:
 
 
 def redacted(docs: DataFrame, field: Field) -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced by its kind; all other columns stay, null texts stay null."""
+    """``docs`` with personal data in ``text`` replaced by its kind; all other columns stay, but for ``n_chars``, which follows
+    a changed text. Null texts stay null."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
-    names = docs.columns
-    text_at = [c.lower() for c in names].index("text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    names, schema = docs.columns, docs.schema
+    lower = [c.lower() for c in names]
+    text_at, size_at = lower.index("text"), lower.index("n_chars") if "n_chars" in lower else None
 
     def hide(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = list(batch.columns)
-        texts = [t if t is None else redact(t, all_spans(t, shared.value)[1]) for t in columns[text_at].to_pylist()]
-        columns[text_at] = pa.array(texts, pa.string())
+        texts = columns[text_at].to_pylist()
+        spans = [all_spans(t or "", shared.value)[1] for t in texts]
+        columns[text_at] = pa.array([redact(t, s) if s else t for t, s in zip(texts, spans, strict=True)], pa.string())
+        if size_at is not None:
+            sizes = [len(t) if s else n for t, s, n in zip(columns[text_at].to_pylist(), spans, columns[size_at].to_pylist(), strict=True)]
+            columns[size_at] = pa.array(sizes, columns[size_at].type)
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(by_batch(hide, text_at), schema)

@@ -199,21 +199,26 @@ def in_fold(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def scored(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
-    """doc_id and ``score`` (0 to 1, higher: better) of every row, by its text alone; null counts as empty.
-    With ``keep`` all columns of ``docs`` stay, and the score is added (in place of a column of that name)."""
+def scored(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id and score (0 to 1, higher: better) of every row, by its text alone; null counts as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    frame = docs if keep else docs.select("doc_id", "text")
-    wanted = [f for f in frame.schema.fields if (f.name.lower() != "score" if keep else f.name == "doc_id")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted) + ", score double"
-    text_at = [c.lower() for c in frame.columns].index("text")
-    at = [frame.columns.index(f.name) for f in wanted]
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = shared.value.scores(batch.column(text_at).to_pylist())
-        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in at), pa.array(found)], names=[*(f.name for f in wanted), "score"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.scores(batch.column(1).to_pylist()))], names=["doc_id", "score"])
 
-    return frame.mapInArrow(by_batch(score, text_at), schema)
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return plain.mapInArrow(by_batch(score), "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, with a score of ``least`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text_at = [c.lower() for c in docs.columns].index("text")
+
+    def choose(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(shared.value.scores(batch.column(text_at).to_pylist()) >= least))
+
+    return docs.mapInArrow(by_batch(choose, text_at), docs.schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1) -> DataFrame:

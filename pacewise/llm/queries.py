@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacewise.llm import decontamination, language, licenses, packing, personal_data, quality, shingle_join, token_counts, vector_join
+from pacewise.llm import decontamination, language, licenses, packing, personal_data, quality, quotations, shingle_join, token_counts, vector_join
 from pacewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses(table(spark, folder, "documents")).drop("detections")
 
 
+@_query
+def op3_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    return quotations.linked(table(spark, folder, "conversations"))
+
+
 @_query
 def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vector_join.near_vectors(table(spark, folder, "embeddings"), cosine=0.9)

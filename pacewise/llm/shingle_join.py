@@ -9,9 +9,11 @@
 3. *Light sets*, up to a boundary, list all pairs of shingles of their prefix (subsets of fixed size 2): sets of
    enough overlap have such a pair in common. *Heavy sets* put every shingle of a shorter prefix in inverted lists. The
    boundary is the size with the least cost by the counted numbers of subsets and list entries. Sets near it do both.
-4. Each list first links its members with one leader of like size, checked exactly. Members that are then in one
-   component need no more checks; what remains is checked between different components only, so a large group of near
-   copies costs as many checks as it has members, and no link between components is lost.
+4. Each list first links its members with one leader of like size, checked exactly; lists that several components still
+   share do so once more with another leader. Members of one component need no more checks. Then only shingles that
+   several components have count: a document with too few of them has no link outside its component and leaves, and the others
+   are joined as in 3 by these shingles alone, between different components. So a large group of near copies costs as many
+   checks as it has members, and no link between components is lost.
 
 Hashes have 40 bits and more, so that two different shingles of a pair of documents get the same one about once in
 a million pairs; such a case changes an overlap by one.
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pacewise.llm.common import NOT_SPACE, Words, counted, distinct, mix, parts, slices, written
+from pacewise.llm.common import NOT_SPACE, Words, counted, distinct, mix, slices, written
 from pacewise.llm.components import components
 
 #: Words of a shingle, and similarity in percent from which documents link.
@@ -148,13 +150,14 @@ def _assembler(bits: int, percent: int):
             totals = [(s[start + kept] - s[start]).astype(np.int64) for s in sums]
         need = -(-percent * size // 100)
         listed = np.arange(len(owner)) - start[owner] < (repeated - need + 1)[owner]
-        scan = np.bincount(owner, weights=np.where(listed, np.exp2(rank / 8), 0), minlength=docs)
+        scan = np.bincount(owner, weights=np.where(listed, np.exp2(rank / 8), 0.0), minlength=docs).astype(np.float64)
         full = np.where(stays & (repeated == size), 1, 0)
         ids = pa.array(table[:, 1], mask=table[:, 0] == 0)
         sums_ = [pa.array(t, mask=full == 0) for t in totals]
-        lists = parts(token, kept).to_pylist() if len(token) else [[]] * docs
+        offsets = pa.array(np.concatenate(([0], np.cumsum(kept))).astype(np.int32))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(token), mask=pa.array(~stays))
         return pa.table(
-            [ids, pa.array(size), pa.array(size - repeated), *sums_, pa.array(scan), pa.array([x if s else None for x, s in zip(lists, stays, strict=True)], pa.list_(pa.int64()))],
+            [ids, pa.array(size), pa.array(size - repeated), *sums_, pa.array(scan), lists],
             names=["doc_id", "n_shingles", "unique", "first_sum", "second_sum", "scan", "tokens"])
 
     return assemble
@@ -218,26 +221,54 @@ def _leaders(listed: DataFrame, choice: Column, band: Column) -> DataFrame:
     return pairs.select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
 
 
-def _labelled(listed: DataFrame, links: DataFrame) -> DataFrame:
-    """The entries of lists that more than one component shares, with their component."""
-    groups = components(links).select(F.col("node").alias("doc_id"), "component")
-    named = listed.join(groups, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+def _named(frame: DataFrame, groups: DataFrame) -> DataFrame:
+    return frame.join(groups, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+
+
+def _groups(links: DataFrame) -> DataFrame:
+    return written(components(links).select(F.col("node").alias("doc_id"), "component"), "groups")
+
+
+def _shared(listed: DataFrame, groups: DataFrame) -> DataFrame:
+    """The entries of lists that more than one component shares."""
+    named = _named(listed, groups)
     mixed = named.groupBy("light", "key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("light", "key")
-    return written(named.join(mixed, ["light", "key"]), "mixed")
+    return written(named.join(mixed, ["light", "key"]).drop("component"), "mixed")
+
+
+def _foreign(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """The sets that may link outside their component, with the shingles that other components have too, fewest components first.
+
+    Shingles that only the own component has say nothing about links outside; a set with too few others has no such link.
+    """
+    named = _named(sets.select("doc_id", "n", "tokens"), groups).select("doc_id", "n", "component", F.explode("tokens").alias("token"))
+    spread = named.groupBy("token", "component").agg(F.count("*").alias("sets")).groupBy("token").agg(F.count("*").alias("spread"), F.sum("sets").alias("sets"))
+    known = named.join(spread.where("spread > 1"), "token")
+    ordered = F.sort_array(F.collect_list(F.struct("spread", "token", "sets")))
+    whole = known.groupBy("doc_id", "n", "component").agg(ordered.alias("ordered")).where(100 * F.size("ordered") >= percent * F.col("n"))
+    scan = F.aggregate(F.slice("ordered", F.lit(1), F.size("ordered") - _need(percent) + 1), F.lit(0.0), lambda total, t: total + t["sets"])
+    return written(whole.select("doc_id", "n", "component", (F.col("n") - F.size("ordered")).alias("unique"), scan.alias("scan"),
+                                F.transform("ordered", lambda t: t["token"]).alias("tokens")), "foreign")
 
 
 def _across(listed: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs between the components of each list that size and place allow."""
-    each = listed.select("light", "key", "component").distinct()
-    other = each.withColumnRenamed("component", "other")
-    meeting = each.join(other, ["light", "key"]).where("component < other")
-    one = listed.select("light", "key", "component", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"))
-    two = listed.select("light", "key", F.col("component").alias("other"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"))
+
+    def fits(n_a: Column, n_b: Column, left_a: Column, left_b: Column) -> Column:
+        return (100 + percent) * F.least(left_a, left_b) >= percent * (n_a + n_b)
+
+    left = F.col("n") - F.col("place")
+    each = listed.groupBy("light", "key", "component").agg(F.min("n").alias("small"), F.max("n").alias("large"), F.max(left).alias("left"))
+    other = each.select("light", "key", F.col("component").alias("other"), F.col("small").alias("small_b"), F.col("large").alias("large_b"), F.col("left").alias("left_b"))
+    may = (100 * F.col("large") >= percent * F.col("small_b")) & (100 * F.col("large_b") >= percent * F.col("small"))
+    may = may & fits(F.col("small"), F.col("small_b"), F.col("left"), F.col("left_b"))
+    meeting = each.join(other, ["light", "key"]).where((F.col("component") < F.col("other")) & may).select("light", "key", "component", "other")
+    one = listed.select("light", "key", "component", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), left.alias("left_a"))
+    two = listed.select("light", "key", F.col("component").alias("other"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"), left.alias("left_b"))
     pairs = meeting.join(one, ["light", "key", "component"]).join(two, ["light", "key", "other"])
-    total = F.col("n_a") + F.col("n_b")
-    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    fits = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & ((100 + percent) * left >= percent * total)
-    return pairs.where(fits).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    like = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    pairs = pairs.where(like & fits(F.col("n_a"), F.col("n_b"), F.col("left_a"), F.col("left_b")))
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -251,12 +282,14 @@ def similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tu
     unlike = found.where("b is null or doc_id = b").dropDuplicates(["doc_id", *whole])
     reps = written(unlike.where("n_shingles > 1").select("doc_id", F.col("n_shingles").alias("n"), "unique", "scan", "tokens"), "classes")
     listed = written(keys(reps, boundary(reps, percent), percent), "keys")
-    band = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
-    links = written(verified(_leaders(listed, F.col("n"), band), reps, percent), "links").select("a", "b")
-    rest = _labelled(listed, links)
-    more = written(verified(_leaders(rest, F.xxhash64("doc_id", "key"), F.floor(F.log("n") / math.log(100 / percent) + 0.5).cast("int")), reps, percent), "links").select("a", "b")
-    links = links.union(more)
-    across = verified(_across(_labelled(rest.drop("component"), links), percent), reps, percent).select("a", "b")
+    band = F.log("n") / math.log(100 / percent)
+    links = written(verified(_leaders(listed, F.col("n"), F.floor(band)), reps, percent), "links").select("a", "b")
+    rest = _shared(listed, _groups(links))
+    more = verified(_leaders(rest, F.xxhash64("doc_id", "key"), F.floor(band + 0.5)), reps, percent).select("a", "b")
+    links = links.union(written(more, "links"))
+    foreign = _foreign(reps, _groups(links), percent)
+    outside = keys(foreign, boundary(foreign, percent), percent).join(foreign.select("doc_id", "component"), "doc_id")
+    across = verified(_across(written(outside, "outside"), percent), reps, percent).select("a", "b")
     return sets, written(links.union(across).union(edges[0]), "links")
 
 

@@ -37,7 +37,7 @@ def written(frame: DataFrame, name: str) -> DataFrame:
 
 
 #: Bytes of text that a worker works on at once; one longer text is worked on alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(batch: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:

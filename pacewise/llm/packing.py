@@ -198,7 +198,7 @@ def keyed(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
 def packed(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 2, bytes_a_task: int = 16 << 20) -> DataFrame:
     """Pieces of all documents in sequences of at most ``length`` ids: doc_id, start (the document's ids before
-    the piece), ids (array of int), doc_tokens, sequence_id and offset (place in the sequence).
+    the piece), ids (little-endian unsigned 32-bit numbers), doc_tokens, sequence_id and offset (place in the sequence).
 
     A null text counts as empty: its document is the end id alone. Rows are independent, so null and repeated
     doc_ids get pieces each; other columns of ``docs`` are not read. The number of range partitions follows the
@@ -215,18 +215,18 @@ def packed(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
         for batch in (some for whole in batches for some in slices(whole, 1)):
             pieces: list[list] = [[] for _ in range(6)]
             for doc, raw, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                ids, start = np.frombuffer(raw, "<u2").astype(np.int32), 0
+                ids, start = np.frombuffer(raw, "<u2").astype("<u4"), 0
                 while start < len(ids):
                     take = min(length - offset, len(ids) - start)
-                    for column, value in zip(pieces, (doc, start, ids[start : start + take], len(ids), (part << 33) + sequence, offset), strict=True):
+                    for column, value in zip(pieces, (doc, start, ids[start : start + take].tobytes(), len(ids), (part << 33) + sequence, offset), strict=True):
                         column.append(value)
                     start, offset = start + take, offset + take
                     if offset == length:
                         sequence, offset = sequence + 1, 0
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int64())
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(pieces, kinds, strict=True)], names=_PIECES)
 
-    return dealt.select("doc_id", "ids", "part").mapInArrow(pour, "doc_id long, start long, ids array<int>, doc_tokens long, sequence_id long, offset long")
+    return dealt.select("doc_id", "ids", "part").mapInArrow(pour, "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 _PIECES = ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset"]
@@ -234,18 +234,5 @@ _PIECES = ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset"]
 
 def piece_digests(pieces: DataFrame) -> DataFrame:
     """The pieces with the length and checksum of their ids instead of the ids."""
-    import zlib
-
-    def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = batch.column(2)
-        values, offsets = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
-        sums = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets, offsets[1:], strict=False)]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(np.diff(offsets), pa.int64()), pa.array(sums, pa.int64()), *batch.columns[3:]],
-            names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-
-    def run(batches):
-        for batch in batches:
-            yield digest(batch)
-
-    return pieces.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    length = (F.octet_length("ids") / 4).cast("long").alias("length")
+    return pieces.select("doc_id", "start", length, F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

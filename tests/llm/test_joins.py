@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import Row
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -156,7 +157,8 @@ def test_packing_is_an_exact_round_trip(spark):
     texts = [None, "", "x", "word " * 3000, *(" ".join(rng.choice(["ab", "cd", "efg", "hij"]) for _ in range(rng.randint(0, 300))) for _ in range(60)), "twin", "twin"]
     docs = with_clashes(spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string"))
     pieces = packing.packed(docs, WORDS, length=128, bytes_a_task=4000)
-    rows, digests = pieces.collect(), packing.piece_digests(pieces).collect()
+    digests = packing.piece_digests(pieces).collect()
+    rows = [Row(**r.asDict() | {"ids": np.frombuffer(r.ids, "<u4").tolist()}) for r in pieces.collect()]
     documents, sequences = {}, {}
     for r in rows:
         documents.setdefault(r.doc_id, []).append(r)

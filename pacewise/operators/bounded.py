@@ -1,19 +1,6 @@
-"""Broadcast only what has been measured, and cut lineage in shared storage."""
+"""Cut lineage in shared storage."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(dimension: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the dimension has at most ``max_rows`` rows.
-
-    The count stops after ``max_rows + 1`` rows. A larger dimension gets no hint, so Spark joins
-    it by shuffle and adaptive execution splits skewed keys.
-    """
-    small = dimension.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dimension) if small else dimension
 
 
 def checkpointed(df: DataFrame, folder: str) -> DataFrame:

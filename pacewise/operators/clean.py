@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pacewise import vocab
 from pacewise.functions.normalize import clock_digits, clock_text, hour_band, hour_of, minute_of, parse_date
-from pacewise.operators.bounded import broadcast_if_small
 from pacewise.schemas import CLEAN_COLUMNS, SEGMENT_COLUMNS, require_columns
 
 
@@ -68,17 +67,17 @@ def valid(
 
 def exclude_pairs(rows: DataFrame, excluded: DataFrame) -> DataFrame:
     """Rows of segments that are not listed; for lists too long for a literal."""
-    return rows.join(broadcast_if_small(excluded.select("pair_id")), "pair_id", "left_anti")
+    return rows.join(excluded.select("pair_id"), "pair_id", "left_anti")
 
 
 def with_day_type(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     """Clean columns after the inner calendar join; dates the calendar lacks drop out.
 
     ``calendar`` comes from :func:`pacewise.sources.dimensions.calendar`, which has one row per
-    date: its size is bounded by the calendar itself, whatever the facts grow to, so it is
-    broadcast.
+    date: its size is bounded by the calendar itself, whatever the facts grow to. Spark broadcasts
+    it by its measured size.
     """
-    return rows.join(F.broadcast(calendar), rows.record_date == calendar.cal_date, "inner").select(
+    return rows.join(calendar, rows.record_date == calendar.cal_date, "inner").select(
         *CLEAN_COLUMNS
     )
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacewise import vocab
-from pacewise.operators.bounded import broadcast_if_small
 from pacewise.schemas import SEGMENT, SEGMENT_COLUMNS
 
 _INTEGERS = tuple(f.name for f in SEGMENT if f.name not in ("RecordDate", "RecordTime"))
@@ -98,10 +97,9 @@ def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame
 def accepted_rows(lines: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Typed rows of all files that were not rejected.
 
-    Pass verdicts that were written as a table. Rejected files are few, so once counted they are
-    broadcast and the rows stay where they were read.
+    Pass verdicts that were written as a table: Spark then knows their size and chooses the join by it.
     """
-    failed = broadcast_if_small(verdicts.filter("status = 'failed'").select("pair_id", "source_file"))
+    failed = verdicts.filter("status = 'failed'").select("pair_id", "source_file")
     kept = lines.filter(F.col("line") != "").join(failed, ["pair_id", "source_file"], "left_anti")
     # A filter on the parsed cells would be pushed down and parse each line once more per cell.
     rows = F.inline(F.filter(F.array(_cells()), lambda cells: ~_is_header(cells)))
@@ -117,6 +115,50 @@ def planned_files(files: DataFrame, done: DataFrame | None = None) -> DataFrame:
     return files.join(done.select("source_file").distinct(), "source_file", "left_anti")
 
 
+#: Columns of the manifest; a unit without files any more has one row with the status ``removed``.
+MANIFEST = "pair_id string, unit string, source_file string, status string, data_rows long, run long"
+
+
+def _fingerprints(files: DataFrame) -> DataFrame:
+    """Number and checksum of each unit's file names."""
+    return files.groupBy("pair_id", "unit").agg(
+        F.count("source_file").alias("n_files"), F.bit_xor(F.xxhash64("source_file")).alias("names")
+    )
+
+
+def unchanged_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``source_file`` of the units that have the files of their last conversion, none of them rejected."""
+    rejected = manifest.groupBy("pair_id", "unit").agg(F.count_if(F.col("status") == "failed").alias("n_failed"))
+    then = _fingerprints(manifest).join(rejected, ["pair_id", "unit"]).filter("n_failed = 0").drop("n_failed")
+    same = _fingerprints(files).join(then, ["pair_id", "unit", "n_files", "names"]).select("pair_id", "unit")
+    return files.join(same, ["pair_id", "unit"], "left_semi").select("source_file")
+
+
+def unit_news(files: DataFrame, manifest: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Manifest rows of a run: the judged files, and the units that have no file any more."""
+    run = F.coalesce(manifest.agg(F.max("run")).scalar(), F.lit(0)) + 1
+    judged = verdicts.join(files.select("source_file", "unit"), "source_file").select(
+        "pair_id", "unit", "source_file", "status", F.col("data_rows").cast("long").alias("data_rows")
+    )
+    gone = (
+        manifest.filter("status <> 'removed'").select("pair_id", "unit").distinct()
+        .join(files.select("pair_id", "unit").distinct(), ["pair_id", "unit"], "left_anti")
+        .select("pair_id", "unit", F.lit(None).cast("string").alias("source_file"), F.lit("removed").alias("status"), F.lit(0).cast("long").alias("data_rows"))
+    )
+    return judged.unionByName(gone).withColumn("run", run.cast("long"))
+
+
+def units_without_rows(news: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Units of a run that had rows before and have none now."""
+
+    def accepted(state: DataFrame) -> DataFrame:
+        rows = F.sum(F.when(F.col("status") == "converted", F.col("data_rows")).otherwise(0))
+        return state.groupBy("pair_id", "unit").agg(rows.alias("n_rows"))
+
+    had = accepted(manifest).filter("n_rows > 0").select("pair_id", "unit")
+    return accepted(news).filter("n_rows = 0").join(had, ["pair_id", "unit"], "left_semi").select("pair_id", "unit")
+
+
 def conversion_metrics(files: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Per segment: files seen, converted, skipped and failed."""
     status = F.coalesce(F.col("status"), F.lit("skipped"))

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from pacewise.functions.geojson import feature, feature_text
 from pacewise.functions.measures import minutes
-from pacewise.operators.bounded import broadcast_if_small
 from pacewise.schemas import COORDINATES, GROUP_COLUMNS, SUMMARY_COLUMNS, require_columns
 from pacewise.sources.dimensions import location_duplicates
 
@@ -28,7 +27,7 @@ def check_locations(summary: DataFrame, locations: DataFrame) -> None:
 def with_location(summary: DataFrame, locations: DataFrame) -> DataFrame:
     """Summary joined to its locations; segments with a null coordinate drop out."""
     require_columns(summary, SUMMARY_COLUMNS, "summary table")
-    return summary.join(broadcast_if_small(locations), "pair_id", "inner").dropna(subset=list(COORDINATES))
+    return summary.join(locations, "pair_id", "inner").dropna(subset=list(COORDINATES))
 
 
 def without_coordinates(summary: DataFrame, locations: DataFrame) -> DataFrame:

@@ -18,16 +18,17 @@ def histogram(
 ) -> DataFrame:
     """Volume per segment, day type, period and travel time, all vehicle types together.
 
-    Dates given replace the default exclusion. They are compared as dates, so partition and
+    Dates given replace the default exclusion; an empty list excludes none. They are compared as dates, so partition and
     row-group pruning still work. Partial sums run before the shuffle, so a segment that holds
     most rows sends no more than its distinct (day type, period, travel time) cells per task.
     """
     require_columns(clean, HISTOGRAM_INPUT, "clean table")
-    dates = [F.lit(date.fromisoformat(d)) for d in (excluded_dates or vocab.EXCLUDED_DATES)]
+    chosen = vocab.EXCLUDED_DATES if excluded_dates is None else excluded_dates
+    dates = [F.lit(date.fromisoformat(d)) for d in chosen]
     return (
         clean.select(*HISTOGRAM_INPUT)
         .filter(
-            ~F.col("record_date").isin(*dates)
+            (~F.col("record_date").isin(*dates) if dates else F.col("record_date").isNotNull())
             & F.col("pair_id").isNotNull()
             & F.col("day_type").isin(*day_types)
             & F.col("time_period").isNotNull()

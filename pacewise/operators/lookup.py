@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacewise import vocab
-from pacewise.operators.bounded import broadcast_if_small
 from pacewise.schemas import FILTER_KEYS, SERVED_PROPERTIES
 
 
@@ -33,9 +32,15 @@ def filter_rows(rows: DataFrame, filters: Mapping[str, str | None]) -> DataFrame
 
 
 def with_route_name(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """``route_name`` from the location names; the segment id only where the segment is not listed."""
-    listed = names.select(F.col("pair_id").alias("listed_id"), F.col("pair_roadname").alias("listed_name"))
-    joined = rows.join(broadcast_if_small(listed), F.col("pair_id") == F.col("listed_id"), "left")
+    """``route_name`` from the location names; the segment id only where the segment is not listed.
+
+    Of several names of a segment the last one wins: the one with the largest ``seq``, where the names have that column, and
+    of those the largest name. A segment never gives more than one row.
+    """
+    order = F.col("seq") if "seq" in names.columns else F.lit(0)
+    latest = F.max(F.struct(order.alias("seq"), F.col("pair_roadname").alias("name")))
+    listed = names.groupBy(F.col("pair_id").alias("listed_id")).agg(latest["name"].alias("listed_name"))
+    joined = rows.join(listed, F.col("pair_id") == F.col("listed_id"), "left")
     route = F.when(F.col("listed_id").isNull(), F.col("pair_id")).otherwise(F.col("listed_name"))
     return joined.withColumn("route_name", route).drop("listed_id", "listed_name")
 

@@ -6,7 +6,7 @@ share an aggregate.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacewise import vocab
@@ -38,7 +38,7 @@ def row_checks(rows: DataFrame, days: DataFrame, columns: Sequence[str] = NULL_C
         return F.count_if(F.col(name).isNull() | (F.trim(F.col(name).cast("string")) == "")).alias(f"{name}_blank")
 
     per_date = rows.groupBy("record_date").agg(F.count("*").alias("n_rows"), *(blank(c) for c in columns))
-    joined = per_date.join(F.broadcast(days), F.col("record_date") == F.col("cal_date"), "left")
+    joined = per_date.join(days, F.col("record_date") == F.col("cal_date"), "left")
     uncovered = F.col("record_date").isNotNull() & F.col("cal_date").isNull()
     counted = joined.agg(
         F.sum(F.when(uncovered, F.col("n_rows"))).alias("uncovered"),
@@ -92,26 +92,26 @@ def segment_checks(summary: DataFrame, locations: DataFrame) -> DataFrame:
 
 
 def level_checks(summary: DataFrame, levels: DataFrame) -> DataFrame:
-    """Per level: rows short of every segment having every cell, and volume off the finest level."""
-    counts = summary.groupBy("summary_level").agg(F.count("*").alias("n_rows"))
-    volumes = levels.groupBy("summary_level").agg(F.sum("volume").alias("volume"))
-    # Four rows, one per level; the last level has one row per segment.
-    all_levels = Window.partitionBy(F.lit(0))
+    """Per level: rows short of every segment having every cell, and volume off the finest level.
 
-    def of_level(name: str, column: str) -> Column:
-        return F.max(F.when(F.col("summary_level") == name, F.col(column))).over(all_levels)
+    Every level of the vocabulary is reported: one without rows lacks all of them, and one without volume the whole volume.
+    """
 
-    cells = F.lit(None).cast("long")
+    def of(name: str, value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("summary_level") == name, value)), F.lit(0)).alias(name)
+
+    names = [name for name, _, _ in vocab.LEVELS]
+    counts = summary.agg(*(of(n, F.lit(1)) for n in names), F.count_distinct("pair_id").alias("segments"))
+    volumes = levels.agg(*(of(n, F.col("volume")) for n in names))
+    short, off = [], []
     for name, by_day, by_period in vocab.LEVELS:
-        n = (len(vocab.DAY_TYPES) if by_day else 1) * (len(vocab.TIME_BANDS) if by_period else 1)
-        cells = F.when(F.col("summary_level") == name, F.lit(n)).otherwise(cells)
-    short = cells * of_level(vocab.LEVELS[3][0], "n_rows") - F.col("n_rows")
-    off = F.abs(F.col("volume") - of_level(vocab.LEVELS[2][0], "volume"))
-
-    def shaped(rows: DataFrame, check: str, bad: Column) -> DataFrame:
-        return rows.select(
-            F.lit(check).alias("check"), F.col("summary_level").alias("scope"), bad.cast("long").alias("bad_rows")
-        )
+        cells = (len(vocab.DAY_TYPES) if by_day else 1) * (len(vocab.TIME_BANDS) if by_period else 1)
+        short.append(F.lit(cells) * F.col("segments") - F.col(name))
+        off.append(F.abs(F.col(name) - F.col(names[2])))
+
+    def shaped(one: DataFrame, check: str, bad: list[Column]) -> DataFrame:
+        named = one.select(*(b.alias(n) for n, b in zip(names, bad, strict=True)))
+        return _report(named, [(check, n, n) for n in names])
 
     return shaped(counts, "level_shortfall", short).unionByName(shaped(volumes, "rollup_difference", off))
 

@@ -5,12 +5,8 @@ from pyspark.sql import functions as F
 
 from pacewise import vocab
 from pacewise.functions.normalize import parse_feed_timestamp
-from pacewise.operators.bounded import BROADCAST_ROWS
 from pacewise.schemas import MAPPING_COLUMNS, SPLIT_COLUMNS, require_columns
 
-# Years one merged segment may span for its (segment, year) flags to be broadcast.
-_YEARS = 100
-
 
 def merge_rules(mapping: DataFrame, note: str = vocab.MERGE_NOTE) -> DataFrame:
     """``seq, route, target_route`` of the rows that order a merge into another segment."""
@@ -65,14 +61,11 @@ def resolve_rules(rules: DataFrame, keep_source: bool = False) -> DataFrame:
 
 def remap(rows: DataFrame, rules: DataFrame, keep_source: bool = False) -> DataFrame:
     """Rows with ``target_pair_id`` (the input ``pair_id`` stays), without any de-duplication."""
-    return _placed(rows, rules, keep_source, rules.count()).drop("copies", "shared")
+    return _placed(rows, rules, keep_source).drop("copies", "shared")
 
 
-def _placed(rows: DataFrame, rules: DataFrame, keep_source: bool, n_rules: int) -> DataFrame:
+def _placed(rows: DataFrame, rules: DataFrame, keep_source: bool) -> DataFrame:
     places = resolve_rules(rules, keep_source)
-    # At most two origins per rule; each has one place, or any place a rule names when sources stay.
-    bound = 2 * n_rules * (2 * n_rules if keep_source else 1)
-    places = F.broadcast(places) if bound <= BROADCAST_ROWS else places
     joined = rows.join(places, rows.pair_id == places.origin, "left").drop("origin")
     return joined.withColumns(
         {
@@ -91,8 +84,7 @@ def merge_segments(rows: DataFrame, rules: DataFrame, keep_source: bool = False)
     """
     columns = ("year", "pair_id") + SPLIT_COLUMNS
     require_columns(rows, columns, "split rows")
-    n_rules = rules.count()
-    placed = _placed(rows.select(*columns), rules, keep_source, n_rules)
+    placed = _placed(rows.select(*columns), rules, keep_source)
     final = ("year", F.col("target_pair_id").alias("pair_id")) + SPLIT_COLUMNS
     alone = placed.filter(~F.col("shared")).select(*final)
     shared = placed.filter("shared")
@@ -102,8 +94,6 @@ def merge_segments(rows: DataFrame, rules: DataFrame, keep_source: bool = False)
         .groupBy("year", "target_pair_id")
         .agg((F.sum("copies") >= 2).alias("met"))
     )
-    if n_rules * _YEARS <= BROADCAST_ROWS:
-        met = F.broadcast(met)
     judged = shared.join(met, ["year", "target_pair_id"])
     merged = judged.filter("met").select(*final).dropDuplicates()
     moved = judged.filter("not met").select(*final)

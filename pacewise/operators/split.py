@@ -1,17 +1,23 @@
 """Split raw feed rows into segment rows, with the filters and counters of that job."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from pacewise import vocab
 from pacewise.functions.normalize import feed_date_text, feed_time_text, pair_id, parse_feed_timestamp
-from pacewise.operators.bounded import broadcast_if_small
 from pacewise.schemas import FEED_COLUMNS, SPLIT_COLUMNS, require_columns
 from pacewise.sources.feed import FeedFilter
 
 
-def tag_feed(raw: DataFrame, wanted: FeedFilter = FeedFilter()) -> DataFrame:
-    """Feed rows with parsed time, segment id and what keeps or drops them."""
+def tag_feed(raw: DataFrame, wanted: FeedFilter = FeedFilter(), nulls: Sequence[str] = vocab.NULL_SPELLINGS) -> DataFrame:
+    """Feed rows with parsed time, segment id and what keeps or drops them.
+
+    Cells that spell a null (``nulls``) become null, so a gantry ``NA`` gives no segment.
+    """
     require_columns(raw, FEED_COLUMNS, "feed")
+    raw = raw.withColumns({c: F.when(~F.col(c).isin(*nulls), F.col(c)) for c in FEED_COLUMNS})
     ts = F.col("ts")
     return (
         raw.withColumn("ts", parse_feed_timestamp(F.col("datetime")))
@@ -52,7 +58,7 @@ def split_feed(raw: DataFrame, wanted: FeedFilter = FeedFilter()) -> DataFrame:
 
 def only_known_pairs(rows: DataFrame, known: DataFrame) -> DataFrame:
     """Rows of segments that already exist."""
-    return rows.join(broadcast_if_small(known.select("pair_id").distinct()), "pair_id", "left_semi")
+    return rows.join(known.select("pair_id").distinct(), "pair_id", "left_semi")
 
 
 def unknown_pairs(rows: DataFrame, known: DataFrame) -> DataFrame:
@@ -67,20 +73,38 @@ def split_metrics(raw: DataFrame, wanted: FeedFilter = FeedFilter()) -> DataFram
     ``raw`` carries ``source_file``. A file is empty when none of its rows parse and pass the
     filter.
     """
-    tagged = tag_feed(raw, wanted)
-    file = F.col("source_file")
+    return summed_metrics(partial_metrics(raw, wanted))
+
+
+def partial_metrics(raw: DataFrame, wanted: FeedFilter = FeedFilter()) -> DataFrame:
+    """Row counters by file and by the (segment, year) that kept rows go to; small beside the rows."""
     kept = F.col("kept")
-    return tagged.agg(
-        F.count_distinct(file).alias("files"),
-        (F.count_distinct(file) - F.count_distinct(F.when(F.col("in_range"), file))).alias("empty_files"),
-        F.count("*").alias("rows_read"),
-        F.count_if(~F.col("parsed")).alias("rows_unparsed"),
-        F.count_if(F.col("parsed") & ~F.col("in_range")).alias("rows_out_of_range"),
-        F.count_if(F.col("in_range") & F.col("pair_id").isNull()).alias("rows_without_pair"),
-        F.count_if(kept).alias("rows_written"),
-        F.count_distinct(F.when(kept, F.col("pair_id"))).alias("pairs"),
-        F.count_distinct(F.when(kept, F.struct("pair_id", F.year("ts")))).alias("pair_years"),
+    return (
+        tag_feed(raw, wanted)
+        .groupBy("source_file", F.when(kept, F.col("pair_id")).alias("pair"), F.when(kept, F.year("ts")).alias("year"))
+        .agg(
+            F.count("*").alias("rows_read"),
+            F.count_if(~F.col("parsed")).alias("rows_unparsed"),
+            F.count_if(F.col("parsed") & ~F.col("in_range")).alias("rows_out_of_range"),
+            F.count_if(F.col("in_range") & F.col("pair_id").isNull()).alias("rows_without_pair"),
+            F.count_if("in_range").alias("rows_in_range"),
+            F.count_if(kept).alias("rows_written"),
+        )
+    )
+
+
+def summed_metrics(partial: DataFrame) -> DataFrame:
+    """The counters of a job: sums by file, and the distinct segments and years, each from a small grouped result."""
+    counters = ("rows_read", "rows_unparsed", "rows_out_of_range", "rows_without_pair", "rows_written")
+    by_file = partial.groupBy("source_file").agg(F.sum("rows_in_range").alias("reached"), *(F.sum(c).alias(c) for c in counters))
+    named = F.col("source_file").isNotNull()
+    files = by_file.select(
+        named.cast("long").alias("files"), (named & (F.col("reached") == 0)).cast("long").alias("empty_files"), *counters
     )
+    by_pair = partial.where("pair is not null").select("pair", "year").distinct().groupBy("pair").agg(F.count("*").alias("pair_years"))
+    pairs = by_pair.select(F.lit(1).cast("long").alias("pairs"), "pair_years")
+    every = files.unionByName(pairs, allowMissingColumns=True)
+    return every.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in every.columns))
 
 
 def pair_reuse(rows: DataFrame, known: DataFrame, only_existing: bool = False) -> DataFrame:

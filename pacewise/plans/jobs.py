@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,14 +15,13 @@ from pacewise.operators.histogram import histogram
 from pacewise.operators.levels import expand_levels, level_input, sentinel_rows
 from pacewise.operators.quality import quality_report
 from pacewise.operators.remap import chronological, merge_rules, merge_segments
-from pacewise.operators.split import observe_feed, only_known_pairs, split_feed
+from pacewise.operators.split import observe_feed, only_known_pairs, pair_reuse, split_feed, split_metrics
 from pacewise.operators.summary import invalid_percentiles, level_counts, summarise
 from pacewise.schemas import SUMMARY_COLUMNS, require_columns
 from pacewise.sinks import files, tables
 from pacewise.sources.dimensions import calendar, location, read_dimension, read_mapping
 from pacewise.sources.feed import FeedFilter, read_feed
-from pacewise.sources.listing import list_files
-from pacewise.sources.segments import list_segment_files, read_segment_lines, read_segment_table
+from pacewise.sources.segments import list_segment_files, read_segment_lines, read_segment_table, unit_of
 
 
 def split(
@@ -35,13 +35,16 @@ def split(
     reset: bool = False,
     recursive: bool = True,
     only_existing_pairs: bool = False,
+    all_counters: bool = False,
 ) -> dict[str, int]:
     """Raw feed to split rows; returns row counters, which the write itself collects.
 
-    Arguments and input files are checked before output is touched.
+    Arguments and input files are checked before output is touched. A repeated run replaces what it wrote, unless ``append``.
+    ``all_counters`` adds those of files and segments (read, empty, reused, new, skipped), which take a pass of their own.
     """
     wanted = FeedFilter.of(year, start, end)
     raw = read_feed(spark, feed, wanted, recursive)
+    more = _split_counters(spark, raw, wanted, output, reset, only_existing_pairs) if all_counters else {}
     read, written = Observation("read"), Observation("written")
     observed = observe_feed(raw, read, wanted)
     rows = split_feed(observed, wanted)
@@ -52,11 +55,25 @@ def split(
             observed.write.format("noop").mode("overwrite").save()
             if reset:
                 files.write_split(split_feed(raw, wanted).limit(0), output, reset=True)
-            return read.get | {"rows_written": 0}
+            return more | read.get | {"rows_written": 0}
         rows = only_known_pairs(rows, known)
     rows = rows.observe(written, F.count("*").alias("rows_written"))
     files.write_split(rows, output, wanted.year, append, reset)
-    return read.get | written.get
+    return more | read.get | written.get
+
+
+def _split_counters(
+    spark: SparkSession, raw: DataFrame, wanted: FeedFilter, output: str, reset: bool, only_existing_pairs: bool
+) -> dict[str, int]:
+    """Counters of files and segments, before the run changes the output."""
+    counts = split_metrics(raw, wanted).first().asDict()
+    known = spark.createDataFrame([], "pair_id string") if reset else _known_pairs(spark, output)
+    found = {"pairs_reused": 0, "pairs_new": 0, "pairs_skipped": 0, "rows_skipped": 0}
+    for row in pair_reuse(split_feed(raw, wanted), known, only_existing_pairs).collect():  # three states at most
+        found[f"pairs_{row.status}"] = row.pairs
+        if row.status == "skipped":
+            found["rows_skipped"] = row.n_rows
+    return counts | found
 
 
 def _known_pairs(spark: SparkSession, output: str) -> DataFrame:
@@ -87,34 +104,37 @@ def convert(
 ) -> DataFrame:
     """Segment CSV to Parquet; returns the planned files (dry run) or the verdict of each file.
 
-    Files that already have an output are skipped unless ``overwrite``. Verdicts are written to
-    ``report`` first: the row pass joins a table of known size, and a rejected file stays on record.
+    What is converted and replaced as one is a unit: a segment's year of a split tree, or a file of a plain tree. A manifest
+    beside the rows names the files of each unit. A unit is planned again, as a whole, when it has other files than then or one of
+    them was rejected, and always with ``overwrite``; one that has no file any more, or no accepted row, loses its rows.
+    Verdicts are written to ``report`` first: the row pass joins a table of known size, and a rejected file stays on record.
     """
-    found = list_segment_files(spark, split_root)
-    planned = conversion.planned_files(found, None if overwrite else _converted(spark, found, output))
+    found = list_segment_files(spark, split_root).withColumn("unit", unit_of(F.col("source_file")))
+    manifest = _manifest(spark, output)
+    planned = conversion.planned_files(found, None if overwrite else conversion.unchanged_files(found, manifest))
     if dry_run:
-        return planned
+        return planned.drop("unit")
     # File names (not data) pass through the driver, as in any Spark file listing.
     lines = read_segment_lines(spark, [r.source_file for r in planned.filter("length > 0").toLocalIterator()])
     conversion.file_verdicts(lines, planned).write.mode("overwrite").parquet(report)
     verdicts = spark.read.parquet(report)
     files.write_segments(conversion.accepted_rows(lines, verdicts), output)
+    news = checkpointed(conversion.unit_news(found, manifest, verdicts), f"{report.rstrip('/')}_checkpoint")
+    files.drop_units(spark, output, conversion.units_without_rows(news, manifest))
+    news.write.mode("append").parquet(f"{output.rstrip('/')}/_manifest")
     return verdicts
 
 
-def _converted(spark: SparkSession, found: DataFrame, output: str) -> DataFrame:
-    """Input files whose output folder exists."""
+def _manifest(spark: SparkSession, output: str) -> DataFrame:
+    """The latest state of every unit of the output: its files, their verdicts, and the run that said so."""
     try:
-        outputs = list_files(spark, output)
-    except FileNotFoundError:
-        return found.select("source_file").limit(0)
-    path = F.col("path")
-    done = outputs.filter(path.endswith(".parquet")).select(
-        F.regexp_extract(path, "/pair_id=([^/]+)/source=", 1).alias("pair_id"),
-        F.regexp_extract(path, "/source=([^/]+)/[^/]+$", 1).alias("source"),
-    ).distinct()
-    stem = F.regexp_extract("source_file", r"([^/]+)\.csv$", 1)
-    return found.withColumn("source", stem).join(done, ["pair_id", "source"], "left_semi").select("source_file")
+        runs = spark.read.schema(conversion.MANIFEST).parquet(f"{output.rstrip('/')}/_manifest")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], conversion.MANIFEST)
+    latest = runs.groupBy("pair_id", "unit").agg(F.max("run").alias("run"))
+    return runs.join(latest, ["pair_id", "unit", "run"]).select(*runs.columns)
 
 
 def clean(

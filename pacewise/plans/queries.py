@@ -521,9 +521,7 @@ def location_without_coordinates(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def map_join(spark: SparkSession, folder: str) -> DataFrame:
-    result, locations = event_summary(spark, folder), event_locations(spark, folder)
-    export.check_locations(result, locations)
-    return export.with_location(result, locations)
+    return export.with_location(event_summary(spark, folder), event_locations(spark, folder))
 
 
 @_query

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,10 +10,7 @@ from pacewise import vocab
 from pacewise.operators.export import bi_rows, feature_lines
 from pacewise.schemas import GROUP_COLUMNS, SPLIT
 from pacewise.sinks.tables import lay_out
-
-# Rows up to which one task may write a whole export. Larger exports are written in parts.
-SINGLE_FILE_ROWS = 1_000_000
-
+from pacewise.sources.segments import unit_of
 
 def write_split(
     rows: DataFrame,
@@ -25,24 +22,17 @@ def write_split(
 ) -> None:
     """Headerless CSV under ``year=/pair_id=``.
 
-    With ``year``, that year is replaced for all segments, including those without new rows, and
-    other years stay. ``append`` adds rows, ``reset`` replaces everything. Without any of them rows
-    are added. The year leads the layout so that replacing it is one overwrite of one folder.
-    ``sort_by`` orders the rows of a segment.
+    By default each (year, segment) that ``rows`` has data for is replaced as a whole, so a repeated run gives the same files'
+    rows. With ``year``, that year is replaced for all segments, including those without new rows, and other years stay.
+    ``append`` adds rows, ``reset`` replaces everything. The year leads the layout so that replacing it is one overwrite of one
+    folder. ``sort_by`` orders the rows of a segment.
     """
-    if reset:
-        mode = "overwrite"
-    elif year is not None and not append:
-        mode = "overwrite"
-        rows, root = rows.filter(F.col("year") == year), f"{root}/year={year}"
-    else:
-        mode = "append"
-    laid_out = lay_out(rows, ["year", "pair_id"], ["year", "pair_id", *sort_by])
-    if mode == "overwrite" and not reset:
-        laid_out.drop("year").write.mode(mode).partitionBy("pair_id").csv(root)
+    laid_out = lay_out(rows if year is None else rows.filter(F.col("year") == year), ["year", "pair_id"], ["year", "pair_id", *sort_by])
+    if year is not None and not append and not reset:
+        laid_out.drop("year").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("pair_id").csv(f"{root}/year={year}")
         return
-    writer = laid_out.write.mode(mode).option("partitionOverwriteMode", "static")
-    writer.partitionBy("year", "pair_id").csv(root)
+    writer = laid_out.write.mode("append" if append and not reset else "overwrite")
+    writer.option("partitionOverwriteMode", "static" if reset else "dynamic").partitionBy("year", "pair_id").csv(root)
 
 
 def read_split(spark: SparkSession, root: str) -> DataFrame:
@@ -54,13 +44,12 @@ def read_split(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_segments(rows: DataFrame, root: str) -> None:
-    """Snappy Parquet, one folder per input file, under ``pair_id=/source=``.
+    """Snappy Parquet, one folder per unit, under ``pair_id=/source=``.
 
-    The write replaces exactly the folders it brings rows for, so a repeated run of the same files
-    gives the same table.
+    A unit (see ``unit_of``) is a segment's year of a split tree, or a file of a plain tree. The write replaces exactly the units
+    it brings rows for, so whatever part files a unit came from, a repeated run gives the same table.
     """
-    stem = F.regexp_extract("source_file", r"([^/]+)\.csv$", 1)
-    keyed = rows.withColumn("source", stem).drop("source_file")
+    keyed = rows.withColumn("source", unit_of(F.col("source_file"))).drop("source_file")
     keys = ["pair_id", "source"]
     (
         lay_out(keyed, keys, [*keys, "RecordDate", "RecordTime"])
@@ -72,48 +61,54 @@ def write_segments(rows: DataFrame, root: str) -> None:
     )
 
 
-def _small(df: DataFrame) -> bool:
-    return df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
+def drop_units(spark: SparkSession, root: str, units: DataFrame) -> None:
+    """Removes the folders of units; their names (what changed in a run, not data) pass through the driver."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in units.toLocalIterator():
+        below = "/".join(names.getPartitionPathString(c, v) for c, v in (("pair_id", row.pair_id), ("source", row.unit)))
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{below}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_bi_csv(summary: DataFrame, path: str, overwrite: bool = False, single_file: bool = False) -> None:
-    """CSV with header in key order.
+    """CSV in key order, in ordered parts, each with a header.
 
-    Parts follow each other in the order of their names. ``single_file`` writes one part when the
-    summary is small enough for one task, and the ordered parts otherwise.
+    ``single_file`` asks for one document: only the first part has the header, so that the parts, joined in the order of
+    their names, are one CSV file, whatever their number.
     """
     rows = bi_rows(summary)
-    if single_file and _small(summary):
-        ordered = rows.repartition(1).sortWithinPartitions(*GROUP_COLUMNS)
-    else:
-        ordered = rows.orderBy(*GROUP_COLUMNS)
     mode = "overwrite" if overwrite else "errorifexists"
-    ordered.write.mode(mode).option("header", "true").option("encoding", "UTF-8").csv(path)
+    if not single_file:
+        ordered = rows.orderBy(*GROUP_COLUMNS)
+        ordered.write.mode(mode).option("header", "true").option("encoding", "UTF-8").csv(path)
+        return
+    head = ",".join(rows.columns)
+    lines = rows.select(F.lit(1).alias("part"), *GROUP_COLUMNS, F.to_csv(F.struct(*rows.columns)).alias("value"))
+    _write_document(lines, [(0, head)], path, mode)
 
 
 def write_geojson(located: DataFrame, path: str, overwrite: bool = False, collection: bool = False) -> str:
     """GeoJSON features in key order; returns the form written.
 
-    The default ``lines`` has one feature per line in ordered parts. ``collection`` asks for one
-    FeatureCollection document, which one task has to write; it is honoured for small summaries.
+    The default ``lines`` has one feature per line in ordered parts. ``collection`` writes one FeatureCollection document as
+    ordered parts: joined in the order of their names they are the document, whatever their number. A comma leads
+    every feature but the first, which one aggregate finds.
     """
-    lines = feature_lines(located)
-    form = "collection" if collection and _small(located) else "lines"
-    if form == "collection":
-        text = _collection_lines(lines).repartition(1).sortWithinPartitions("part", *GROUP_COLUMNS)
-    else:
-        text = lines.orderBy(*GROUP_COLUMNS)
-    text.select("value").write.mode("overwrite" if overwrite else "errorifexists").text(path)
-    return form
-
-
-def _collection_lines(lines: DataFrame) -> DataFrame:
-    """Feature lines with the opening and closing line of a collection around them."""
-    # The window is one task, as is the document; the caller has checked the number of rows.
-    is_last = F.lead(F.lit(1)).over(Window.orderBy(*GROUP_COLUMNS)).isNull()
-    body = lines.withColumn(
-        "value", F.concat("value", F.when(is_last, F.lit("")).otherwise(F.lit(",")))
-    ).withColumn("part", F.lit(1))
+    lines, mode = feature_lines(located), "overwrite" if overwrite else "errorifexists"
+    if not collection:
+        lines.orderBy(*GROUP_COLUMNS).select("value").write.mode(mode).text(path)
+        return "lines"
+    key = F.struct(*GROUP_COLUMNS, "value")
+    first = lines.agg(F.min(key).alias("first"))
+    leads = F.when(key == first.scalar(), F.lit("")).otherwise(F.lit(","))
+    body = lines.select(F.lit(1).alias("part"), *GROUP_COLUMNS, F.concat(leads, "value").alias("value"))
     head = f'{{"type": "FeatureCollection", "name": "{vocab.COLLECTION_NAME}", "features": ['
-    frame = lines.sparkSession.createDataFrame([(0, head), (2, "]}")], "part int, value string")
-    return body.unionByName(frame, allowMissingColumns=True)
+    _write_document(body, [(0, head), (2, "]}")], path, mode)
+    return "collection"
+
+
+def _write_document(body: DataFrame, frame: list[tuple[int, str]], path: str, mode: str) -> None:
+    """Lines in key order with the lines of ``frame`` before (0) or behind (2) them, as text parts."""
+    edge = body.sparkSession.createDataFrame(frame, "part int, value string")
+    whole = body.unionByName(edge, allowMissingColumns=True).orderBy("part", *GROUP_COLUMNS, "value")
+    whole.select("value").write.mode(mode).text(path)

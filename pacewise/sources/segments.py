@@ -1,6 +1,6 @@
 """Segment files: one set of rows per segment and year, as text lines or as Parquet."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacewise.functions.normalize import decoded_path, parent_folder
@@ -13,6 +13,12 @@ def _pair_of(path):
     return F.regexp_replace(parent_folder(path, "csv"), "^pair_id=", "")
 
 
+def unit_of(path: Column) -> Column:
+    """What is converted and replaced as one: year and segment of a split tree (``year=/pair_id=``), else the file's stem."""
+    year, pair = (F.regexp_extract(path, r"/year=([0-9]+)/pair_id=([^/]+)/[^/]+$", n) for n in (1, 2))
+    return F.when(year != "", F.concat(year, F.lit("_"), pair)).otherwise(F.regexp_extract(path, r"([^/]+)\.csv$", 1))
+
+
 def list_segment_files(spark: SparkSession, root: str) -> DataFrame:
     """``source_file``, ``pair_id``, ``length`` of every CSV file that lies in a segment folder."""
     path = F.col("path")

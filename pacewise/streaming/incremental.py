@@ -1,16 +1,15 @@
 """Conversion of segment files that arrived since the last run.
 
-The file source remembers in its checkpoint which files it has read, which is the rule "skip files
-that are already converted". A micro-batch holds whole files, so whole-file rejection works inside
-it, and a repeated batch replaces the same output folders.
+The file source remembers in its checkpoint which files it has seen and starts a batch when others arrive. The batch runs the
+conversion job, whose manifest decides which units have changed: a unit is always converted from all of its files, and a
+repeated batch finds nothing to do.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from pacewise.operators.conversion import accepted_rows, file_verdicts
-from pacewise.sinks.files import write_segments
-from pacewise.sources.segments import line_columns, with_row_id
+from pacewise.plans.jobs import convert
 
 
 def checkpoint_folder(spark: SparkSession, name: str, given: str | None = None) -> str:
@@ -33,24 +32,21 @@ def convert_new_files(
 ) -> StreamingQuery:
     """Convert all files not yet seen, then stop.
 
-    Verdicts of each batch are kept under ``report/batch=N``. A file without any line has none.
+    The verdicts of each batch that converted something are kept under ``report/batch=N``.
     """
-    lines = line_columns(
+    names = (
         spark.readStream.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
         .text(split_root)
+        .select(F.col("_metadata.file_path"))
     )
 
     def convert_batch(batch: DataFrame, number: int) -> None:
-        verdict_path = f"{report}/batch={number}"
-        batch = with_row_id(batch)
-        file_verdicts(batch).write.mode("overwrite").parquet(verdict_path)
-        verdicts = batch.sparkSession.read.parquet(verdict_path)
-        write_segments(accepted_rows(batch, verdicts), output)
+        convert(batch.sparkSession, split_root, output, f"{report}/batch={number}")
 
     return (
-        lines.writeStream.foreachBatch(convert_batch)
+        names.writeStream.foreachBatch(convert_batch)
         .option("checkpointLocation", checkpoint_folder(spark, "convert_new_files", checkpoint))
         .trigger(availableNow=True)
         .start()

@@ -108,15 +108,15 @@ def test_geojson_lines_and_collection(spark, built):
     lines, document = str(base / "lines"), str(base / "document")
     assert jobs.export_geojson(spark, "built.summary", paths["location.csv"], lines) == "lines"
     assert jobs.export_geojson(spark, "built.summary", paths["location.csv"], document, collection=True) == "collection"
-    (part,) = [p for p in (base / "document").iterdir() if p.name.startswith("part-")]
-    loaded = json.loads(part.read_text(encoding="utf-8"))
+    loaded = json.loads(joined(base / "document"))
     assert loaded["type"] == "FeatureCollection" and loaded["name"] == "tdcs_reliability_map"
     assert len(loaded["features"]) == 7
     first = loaded["features"][0]
     assert first["geometry"] == {"type": "LineString", "coordinates": [[121.5, 25.0], [121.75, 25.25]]}
     assert len(first["properties"]) == 18 and first["properties"]["pair_roadname"] == "路 A"
     one = read_features(spark, lines).select(F.to_json(F.struct("*")).alias("j"))
-    other = read_features(spark, document, collection=True).select(F.to_json(F.struct("*")).alias("j"))
+    (base / "whole").write_text(joined(base / "document"), encoding="utf-8")
+    other = read_features(spark, str(base / "whole"), collection=True).select(F.to_json(F.struct("*")).alias("j"))
     assert rows(one) == rows(other)
     with pytest.raises(AnalysisException):
         jobs.export_geojson(spark, "built.summary", paths["location.csv"], lines)
@@ -141,9 +141,7 @@ def test_bi_csv(spark, built):
     base, _, _, _ = built
     path = base / "bi"
     jobs.export_bi_csv(spark, "built.summary", str(path), single_file=True)
-    (part,) = path.glob("part-*.csv")
-    with open(part, encoding="utf-8") as f:
-        read = list(csv.DictReader(f))
+    read = list(csv.DictReader(joined(path).splitlines()))
     keys = [(r["summary_level"], r["pair_id"], r["day_type"], r["time_period"]) for r in read]
     assert keys == sorted(keys) and len(keys) == 7
     assert list(read[0]) == [*SUMMARY_COLUMNS, "p50_travel_time_min", "p95_travel_time_min", "buffer_time_min"]
@@ -152,13 +150,28 @@ def test_bi_csv(spark, built):
     jobs.export_bi_csv(spark, "built.summary", str(path), overwrite=True)
 
 
-def test_large_exports_stay_in_parts(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(files, "SINGLE_FILE_ROWS", 1)
-    summary = summary_rows(spark, "A_B", "C_D")
-    located = export.with_location(summary, dimensions.location(location_rows(spark, {}, {"pair_id": "C_D"})))
-    assert files.write_geojson(located, str(tmp_path / "g"), collection=True) == "lines"
-    files.write_bi_csv(summary, str(tmp_path / "c"), single_file=True)
-    assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 2
+def joined(folder):
+    return "".join(p.read_text(encoding="utf-8") for p in sorted(folder.glob("part-*")))
+
+
+def test_a_document_is_the_same_in_one_part_and_in_many(spark, tmp_path):
+    pairs = [f"P{i:03}" for i in range(60)]
+    summary = summary_rows(spark, *pairs).repartition(7)
+    located = export.with_location(summary, dimensions.location(location_rows(spark, *({"pair_id": p} for p in pairs))))
+    size = "spark.sql.adaptive.coalescePartitions.enabled"
+    for name, gathered in (("one", "true"), ("many", "false")):
+        spark.conf.set(size, gathered)
+        try:
+            assert files.write_geojson(located, str(tmp_path / name), collection=True) == "collection"
+            files.write_bi_csv(summary, str(tmp_path / f"{name}_csv"), single_file=True)
+        finally:
+            spark.conf.unset(size)
+    assert len(list((tmp_path / "one").glob("part-*"))) < len(list((tmp_path / "many").glob("part-*")))
+    for name in ("one", "many"):
+        features = json.loads(joined(tmp_path / name))["features"]
+        assert [f["properties"]["pair_id"] for f in features] == pairs
+        read = list(csv.DictReader(joined(tmp_path / f"{name}_csv").splitlines()))
+        assert [r["pair_id"] for r in read] == pairs and read[0]["p50_travel_time_min"] == "1.67"
 
 
 def test_location_checks(spark):
@@ -186,6 +199,8 @@ def test_route_name_falls_back_only_for_absent_segments(spark):
     names = spark.createDataFrame([("A_B", "Road"), ("C_D", ""), ("C_X", "x")], "pair_id string, pair_roadname string")
     got = {r.pair_id: r.route_name for r in lookup.with_route_name(summary, names).collect()}
     assert got == {"A_B": "Road", "C_D": "", "E_F": "E_F"}
+    twice = spark.createDataFrame([(2, "A_B", "New"), (1, "A_B", "Old")], "seq int, pair_id string, pair_roadname string")
+    assert rows(lookup.with_route_name(summary, twice).select("pair_id", "route_name")) == {("A_B", "New"): 1, ("C_D", "C_D"): 1, ("E_F", "E_F"): 1}
 
 
 def test_calendar_conflict_is_settled_and_reported(spark, tmp_path):
@@ -231,3 +246,51 @@ def test_segment_table_needs_its_columns(spark, tmp_path):
     spark.sql("SELECT 1 AS RecordDate").write.parquet(str(tmp_path / "seg" / "A_B"))
     with pytest.raises(ValueError, match="RecordTime"):
         read_segment_table(spark, str(tmp_path / "seg"))
+
+
+def segment_rows(spark, paths):
+    return rows(spark.read.parquet(paths["segments"]).groupBy("pair_id").count())
+
+
+def test_repeated_runs_never_double_rows(spark, tmp_path):
+    paths = {n: str(tmp_path / n) for n in ("feed", "split", "segments", "report")}
+    folder = tmp_path / "feed" / "20260612" / "07"
+    folder.mkdir(parents=True)
+    line = "2026/06/12 07:05,{},B,31,100,1\n"
+    (folder / "TDCS_M04A_x.csv").write_text(line.format("A") * 5 + line.format("C") * 2 + line.format("NA"))
+    for year in (None, 2026):
+        for _ in range(2):
+            counters = jobs.split(spark, paths["feed"], paths["split"], year=year, all_counters=True)
+            jobs.convert(spark, paths["split"], paths["segments"], paths["report"])
+            assert segment_rows(spark, paths) == {("A_B", 5): 1, ("C_B", 2): 1}
+    assert counters["files"] == 1 and counters["empty_files"] == 0 and counters["pairs"] == 2 and counters["pairs_reused"] == 2
+    assert counters["rows_without_pair"] == 1 and counters["rows_written"] == 7 and counters["pairs_new"] == 0
+    for _ in range(2):
+        jobs.convert(spark, paths["split"], paths["segments"], paths["report"], overwrite=True)
+    assert segment_rows(spark, paths) == {("A_B", 5): 1, ("C_B", 2): 1}
+    assert jobs.convert(spark, paths["split"], paths["segments"], paths["report"]).count() == 0
+
+    # a part file more: the unit is converted again from all of its files
+    (tmp_path / "split/year=2026/pair_id=A_B/more.csv").write_text("2026/6/12,07:10,31,90,2\n")
+    assert jobs.convert(spark, paths["split"], paths["segments"], paths["report"]).count() == 2
+    assert segment_rows(spark, paths) == {("A_B", 6): 1, ("C_B", 2): 1}
+
+    # a segment that vanishes, and one whose file has a header only
+    (folder / "TDCS_M04A_x.csv").write_text(line.format("A"))
+    jobs.split(spark, paths["feed"], paths["split"], year=2026)
+    jobs.convert(spark, paths["split"], paths["segments"], paths["report"])
+    assert segment_rows(spark, paths) == {("A_B", 1): 1}
+    (tmp_path / "split/year=2026/pair_id=D_B").mkdir()
+    (tmp_path / "split/year=2026/pair_id=D_B/x.csv").write_text("RecordDate,RecordTime,VehicleType,TravelTime,Volume\n")
+    assert jobs.convert(spark, paths["split"], paths["segments"], paths["report"]).count() == 1
+    assert jobs.convert(spark, paths["split"], paths["segments"], paths["report"]).count() == 0
+    assert segment_rows(spark, paths) == {("A_B", 1): 1}
+
+
+def test_repeated_merge_and_convert(spark, built):
+    base, paths, _, _ = built
+    before = rows(spark.read.parquet(paths["segments"]).drop("source"))
+    for _ in range(2):
+        jobs.merge(spark, paths["split"], paths["mapping.csv"], paths["merged"])
+        jobs.convert(spark, paths["merged"], paths["segments"], paths["report"], overwrite=True)
+    assert rows(spark.read.parquet(paths["segments"]).drop("source")) == before

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pacewise.operators import bounded, clean, export, remap, summary
+from pacewise.operators import clean, remap, summary
 from pacewise.operators.histogram import histogram
 from pacewise.plans import adapters, queries
 from pacewise.sinks.tables import lay_out
@@ -52,11 +52,20 @@ def test_excluded_dates_are_compared_as_dates(spark, tmp_path):
     assert "PushedFilters" in text and "record_date" in text.split("PushedFilters")[1]
 
 
-def test_location_is_broadcast_only_when_counted_small(spark, tables, monkeypatch):
-    result, locations = queries.event_summary(spark, tables), queries.event_locations(spark, tables)
-    assert "BroadcastHashJoin [pair_id" in plan(export.with_location(result, locations))
-    hinted = bounded.broadcast_if_small(locations, max_rows=10)
-    assert hinted is locations
+def test_no_job_starts_while_a_query_is_built(spark, tables):
+    """Apart from reading schemas, which Spark does in jobs of its own."""
+    tracker = spark.sparkContext.statusTracker()
+    for name, build in queries.registry().items():
+        spark.sparkContext.setJobGroup(name, name)
+        build(spark, tables)
+        for job in tracker.getJobIdsForGroup(name):
+            stages = [tracker.getStageInfo(s) for s in tracker.getJobInfo(job).stageIds]
+            assert all(s is None or s.name.startswith("parquet at") for s in stages), (name, [s.name for s in stages])
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_split_counters_expand_nothing(spark, tables):
+    assert "Expand" not in plan(queries.registry()["split_metrics"](spark, tables))
 
 
 def test_unmapped_segments_are_not_shuffled(spark, tables):

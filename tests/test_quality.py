@@ -28,7 +28,8 @@ def test_each_check_counts_its_bad_rows(spark):
         ("null_or_blank", "travel_time_sec", 1): 1, ("null_or_blank", "volume", 1): 1, ("uncovered_dates", "rows", 1): 1,
         ("calendar_conflicts", "dates", 1): 1, ("duplicate_observations", "rows", 2): 1, ("location_duplicates", "pairs", 1): 1,
         ("missing_locations", "pairs", 1): 1, ("null_coordinates", "rows", 1): 1, ("p95_below_p50", "rows", 1): 1,
-        ("level_shortfall", "L1_DAY_TYPE", 5): 1, ("level_shortfall", "L4_OVERALL", 0): 1,
+        ("level_shortfall", "L1_DAY_TYPE", 5): 1, ("level_shortfall", "L2_TIME_PERIOD", 15): 1,
+        ("level_shortfall", "L3_DAY_TYPE_TIME_PERIOD", 30): 1, ("level_shortfall", "L4_OVERALL", 0): 1,
         ("rollup_difference", "L1_DAY_TYPE", 0): 1, ("rollup_difference", "L2_TIME_PERIOD", 1): 1,
         ("rollup_difference", "L3_DAY_TYPE_TIME_PERIOD", 0): 1, ("rollup_difference", "L4_OVERALL", 0): 1,
     }

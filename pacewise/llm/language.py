@@ -59,7 +59,7 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         letters[beyond] = [0x1FFF if unicodedata.category(chr(p))[0] == "L" else 0 for p in points[beyond].tolist()]
     of = np.repeat(np.arange(len(texts)), [len(r) // 4 for r in raw])
     keep = np.ones(len(letters), dtype=bool)
-    keep[1:] = (letters[1:] != 0) | (letters[:-1] != 0)  # a run of what is no letter counts as one blank
+    keep[1:] = (letters[1:] != 0) | (letters[:-1] != 0) | (of[1:] != of[:-1])  # a run of what is no letter counts as one blank
     letters, of = letters[keep], of[keep]
     letters = np.where(letters == 0, 1, letters)
     found, gram = [], letters

@@ -1,5 +1,59 @@
 """DuckDB SQL of the training-data queries that SQL can express."""
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
+_SPACED = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+_SQL = {
+    "op1_jaccard_join": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+        pairs AS (
+            SELECT a, b FROM common JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 75 * (x.n + y.n - c)
+        ),
+        links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = d.doc_id) AS component_id
+        FROM d LEFT JOIN n ON d.doc_id = n.doc_id
+    """,
+    "op4_embedding_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+        good AS (SELECT * FROM v WHERE list_dot_product(e, e) > 0 AND isfinite(list_dot_product(e, e))),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.9
+        ),
+        reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN least USING (vec_id)
+    """,
+    "op9_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        i AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS win
+            FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS s FROM i WHERE len(w) > 0)
+        ),
+        places AS (SELECT r, w, unnest(generate_series(1, len(w))) AS s FROM d WHERE len(w) > 0),
+        hits AS (
+            SELECT r, s, places.n, item
+            FROM (SELECT r, s, n, array_to_string(w[s : s + n - 1], ' ') AS win FROM places, (SELECT DISTINCT n FROM windows) WHERE s + n - 1 <= len(w)) places
+            JOIN windows ON windows.win = places.win AND windows.n = places.n
+        ),
+        cover AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(s, s + n - 1)) AS p FROM hits) GROUP BY r),
+        found AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+            sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN cover USING (r) LEFT JOIN found USING (r)
+    """,
+}
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

@@ -51,6 +51,8 @@ def write_table(
     if fmt == "iceberg":
         keys = [F.partitioning.months(month_of)] if month_of else [F.col(c) for c in partition_by]
         writer = laid_out.writeTo(table).using(fmt).tableProperty("format-version", "2").partitionedBy(*keys)
+        if month_of:
+            writer = writer.tableProperty("write.spark.fanout.enabled", "true")
         if overwrite:
             writer.createOrReplace()
         else:

@@ -100,6 +100,30 @@ def select_flat_files(files: DataFrame, wanted: FeedFilter = FeedFilter()) -> Da
     )
 
 
+def date_folders(wanted: FeedFilter) -> str | None:
+    """A glob of the date folders that can pass, or null where the filter leaves them open at one end.
+
+    It bounds a listing before any folder is entered; days inside a month are left to the exact test.
+    """
+    day = "[0-3][0-9]"
+    if wanted.start and wanted.end:
+        first, last = wanted.start.year * 12 + wanted.start.month - 1, wanted.end.year * 12 + wanted.end.month - 1
+        months = [(m // 12, m % 12 + 1) for m in range(first, last + 1) if wanted.year in (None, m // 12)]
+        return "{" + ",".join(f"{y:04}{m:02}{day}" for y, m in months) + "}" if months else None
+    return f"{wanted.year:04}[01][0-9]{day}" if wanted.year is not None else None
+
+
+def _listed(spark: SparkSession, folder: str, wanted: FeedFilter, recursive: bool, is_root: bool) -> DataFrame:
+    """Files of an input folder; of a feed root only those in date folders that can pass, if there are any."""
+    chosen = date_folders(wanted) if recursive and is_root else None
+    if chosen:
+        try:
+            return list_files(spark, f"{folder.rstrip('/')}/{chosen}", recursive)
+        except FileNotFoundError:
+            pass  # no such date folder: the input may be flat
+    return list_files(spark, folder, recursive)
+
+
 def find_feed_files(
     spark: SparkSession, folder: str, wanted: FeedFilter = FeedFilter(), recursive: bool = True
 ) -> DataFrame:
@@ -107,8 +131,9 @@ def find_feed_files(
     root = urlparse(folder).path.rstrip("/")
     path = F.col("path")
     below = F.substring_index(path, root + "/", -1) if root else path
-    listed = list_files(spark, folder, recursive).withColumn("below", below)
     names = [""] + root.split("/")
+    is_root = not (_DATE.fullmatch(names[-1]) or _HOUR.fullmatch(names[-1]) and _DATE.fullmatch(names[-2]))
+    listed = _listed(spark, folder, wanted, recursive, is_root).withColumn("below", below)
     if not recursive:
         return select_flat_files(listed, wanted)
     if _HOUR.fullmatch(names[-1]) and _DATE.fullmatch(names[-2]):

@@ -5,7 +5,8 @@ import pytest
 from pacewise.operators import split
 from pacewise.plans import jobs
 from pacewise.sinks.files import read_split
-from pacewise.sources.feed import FeedFilter, find_feed_files, read_feed
+from pacewise.sources import feed as feed_source
+from pacewise.sources.feed import FeedFilter, date_folders, find_feed_files, read_feed
 from tests.helpers import rows
 
 LINE = "{} {},A,B,31,62,14\n"
@@ -128,3 +129,25 @@ def test_only_existing_pairs(spark, feed, tmp_path):
     assert not list((tmp_path / "fresh").glob("**/*.csv"))
     jobs.split(spark, str(feed), out, only_existing_pairs=True, reset=True)
     assert not list((tmp_path / "split").glob("**/pair_id=*"))
+
+
+def test_rejected_date_folders_are_not_listed(spark, feed, monkeypatch):
+    asked = []
+
+    def listing(session, folder, recursive=True):
+        asked.append(folder)
+        return list_files(session, folder, recursive)
+
+    list_files = feed_source.list_files
+    monkeypatch.setattr(feed_source, "list_files", listing)
+    assert names(find_feed_files(spark, str(feed), FeedFilter.of(2025))) == ["TDCS_M04A_c.csv"]
+    assert asked == [f"{feed}/2025[01][0-9][0-3][0-9]"]
+    assert not list_files(spark, asked[0]).filter("path like '%/2026%'").count()
+    put(feed.parent / "flat/TDCS_M04A_x.csv", LINE.format("2026/01/13", "00:05"))
+    assert names(find_feed_files(spark, str(feed.parent / "flat"), FeedFilter.of(2025))) == ["TDCS_M04A_x.csv"]
+
+
+def test_date_folder_globs():
+    assert date_folders(FeedFilter.of()) is None and date_folders(FeedFilter.of(start="20260101")) is None
+    assert date_folders(FeedFilter.of(start="20251130", end="20260102")) == "{" + ",".join(f"{m}[0-3][0-9]" for m in (202511, 202512, 202601)) + "}"
+    assert date_folders(FeedFilter.of(2026, "20251130", "20260102")) == "{202601[0-3][0-9]}"

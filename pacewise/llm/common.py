@@ -106,7 +106,7 @@ _POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, dtype=np.uint64))
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each stretch of bytes: digits of a number to an odd base, mixed; chunked to bound memory."""
     out = np.empty(len(starts), dtype=np.uint64)
-    step = 1 << 18
+    step = 1 << 16
     for at in range(0, len(out), step):
         begins = starts[at : at + step]
         sizes = ends[at : at + step] - begins

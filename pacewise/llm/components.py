@@ -25,10 +25,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _digest(edges: DataFrame) -> tuple[int, int | None]:
-    """Number and checksum of distinct edges: equal for equal sets, whatever their order."""
-    row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("sum")).first()
-    return row.n, row.sum
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple[int, int | None]]:
+    """Distinct edges as a table, with their number and checksum: equal for equal sets, whatever their order."""
+    table = written(edges, "edges")
+    row = table.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("sum")).first()
+    return table, (row.n, row.sum)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -37,11 +38,9 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has columns a and b of an ordered type; direction, repeats, loops and nulls do not matter.
     """
     plain = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    state = written(plain, "edges")
-    before = _digest(state)
+    state, before = _stored(plain)
     while True:
-        state = written(_star(_star(state, True), False), "edges")
-        after = _digest(state)
+        state, after = _stored(_star(_star(state, True), False))
         if after == before:
             break
         before = after

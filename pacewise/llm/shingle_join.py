@@ -9,8 +9,8 @@
 3. *Light sets*, up to a boundary, list all pairs of shingles of their prefix (subsets of fixed size 2): sets of
    enough overlap have such a pair in common. *Heavy sets* put every shingle of a shorter prefix in inverted lists. The
    boundary is the size with the least cost by the counted numbers of subsets and list entries. Sets near it do both.
-4. Each list first links its members with one leader of like size, checked exactly; lists that several components still
-   share do so once more with another leader. Members of one component need no more checks. Then only shingles that
+4. Each list first links its members with two leaders of like size, checked exactly. Members of one component need no more
+   checks. Then only shingles that
    several components have count: a document with too few of them has no link outside its component and leaves, and the others
    are joined as in 3 by these shingles alone, between different components. So a large group of near copies costs as many
    checks as it has members, and no link between components is lost.
@@ -213,12 +213,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def _leaders(listed: DataFrame, choice: Column, band: Column) -> DataFrame:
-    """Distinct pairs of each list's members with one leader of like size."""
+    """Pairs of each list's members with one leader of like size."""
     banded = listed.withColumn("band", band)
     best = banded.groupBy("light", "key", "band").agg(F.min(F.struct(choice.alias("order"), "doc_id", "n")).alias("best"), F.count("*").alias("members"))
     best = best.where("members > 1").select("light", "key", "band", F.col("best.doc_id").alias("b"), F.col("best.n").alias("n_b"))
     pairs = banded.join(best, ["light", "key", "band"]).where("doc_id <> b")
-    return pairs.select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
+    return pairs.select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b"))
 
 
 def _named(frame: DataFrame, groups: DataFrame) -> DataFrame:
@@ -229,13 +229,6 @@ def _groups(links: DataFrame) -> DataFrame:
     return written(components(links).select(F.col("node").alias("doc_id"), "component"), "groups")
 
 
-def _shared(listed: DataFrame, groups: DataFrame) -> DataFrame:
-    """The entries of lists that more than one component shares."""
-    named = _named(listed, groups)
-    mixed = named.groupBy("light", "key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("light", "key")
-    return written(named.join(mixed, ["light", "key"]).drop("component"), "mixed")
-
-
 def _foreign(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """The sets that may link outside their component, with the shingles that other components have too, fewest components first.
 
@@ -283,10 +276,8 @@ def similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tu
     reps = written(unlike.where("n_shingles > 1").select("doc_id", F.col("n_shingles").alias("n"), "unique", "scan", "tokens"), "classes")
     listed = written(keys(reps, boundary(reps, percent), percent), "keys")
     band = F.log("n") / math.log(100 / percent)
-    links = written(verified(_leaders(listed, F.col("n"), F.floor(band)), reps, percent), "links").select("a", "b")
-    rest = _shared(listed, _groups(links))
-    more = verified(_leaders(rest, F.xxhash64("doc_id", "key"), F.floor(band + 0.5)), reps, percent).select("a", "b")
-    links = links.union(written(more, "links"))
+    led = _leaders(listed, F.col("n"), F.floor(band)).union(_leaders(listed, F.xxhash64("doc_id", "key"), F.floor(band + 0.5))).distinct()
+    links = written(verified(led, reps, percent), "links").select("a", "b")
     foreign = _foreign(reps, _groups(links), percent)
     outside = keys(foreign, boundary(foreign, percent), percent).join(foreign.select("doc_id", "component"), "doc_id")
     across = verified(_across(written(outside, "outside"), percent), reps, percent).select("a", "b")

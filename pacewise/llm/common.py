@@ -20,12 +20,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder that driver and executors share: the one the session names, else one in the warehouse, which they share too."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:

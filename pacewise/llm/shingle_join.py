@@ -250,17 +250,24 @@ def _across(listed: DataFrame, percent: int) -> DataFrame:
     def fits(n_a: Column, n_b: Column, left_a: Column, left_b: Column) -> Column:
         return (100 + percent) * F.least(left_a, left_b) >= percent * (n_a + n_b)
 
+    def like(n_a: Column, n_b: Column) -> Column:
+        return (100 * n_a >= percent * n_b) & (100 * n_b >= percent * n_a)
+
     left = F.col("n") - F.col("place")
-    each = listed.groupBy("light", "key", "component").agg(F.min("n").alias("small"), F.max("n").alias("large"), F.max(left).alias("left"))
-    other = each.select("light", "key", F.col("component").alias("other"), F.col("small").alias("small_b"), F.col("large").alias("large_b"), F.col("left").alias("left_b"))
+    each = listed.groupBy("light", "key", "component").agg(
+        F.count("*").alias("members"), F.min("n").alias("small"), F.max("n").alias("large"), F.max(left).alias("most_left"))
+    other = each.select("light", "key", *(F.col(c).alias(f"{c}_b") for c in ("component", "members", "small", "large", "most_left")))
     may = (100 * F.col("large") >= percent * F.col("small_b")) & (100 * F.col("large_b") >= percent * F.col("small"))
-    may = may & fits(F.col("small"), F.col("small_b"), F.col("left"), F.col("left_b"))
-    meeting = each.join(other, ["light", "key"]).where((F.col("component") < F.col("other")) & may).select("light", "key", "component", "other")
+    may = may & fits(F.col("small"), F.col("small_b"), F.col("most_left"), F.col("most_left_b"))
+    smaller = F.struct("members", "component") < F.struct(F.col("members_b").alias("members"), F.col("component_b").alias("component"))
+    meeting = each.join(other, ["light", "key"]).where(smaller & may).select("light", "key", "component", "component_b", "small_b", "large_b", "most_left_b")
+    # the documents of the smaller side first, and only those that the bounds of the other side allow
     one = listed.select("light", "key", "component", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), left.alias("left_a"))
-    two = listed.select("light", "key", F.col("component").alias("other"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"), left.alias("left_b"))
-    pairs = meeting.join(one, ["light", "key", "component"]).join(two, ["light", "key", "other"])
-    like = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    pairs = pairs.where(like & fits(F.col("n_a"), F.col("n_b"), F.col("left_a"), F.col("left_b")))
+    near = (100 * F.col("n_a") >= percent * F.col("small_b")) & (100 * F.col("large_b") >= percent * F.col("n_a"))
+    chosen = meeting.join(one, ["light", "key", "component"]).where(near & fits(F.col("n_a"), F.col("small_b"), F.col("left_a"), F.col("most_left_b")))
+    two = listed.select("light", "key", F.col("component").alias("component_b"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"), left.alias("left_b"))
+    pairs = chosen.join(two, ["light", "key", "component_b"])
+    pairs = pairs.where(like(F.col("n_a"), F.col("n_b")) & fits(F.col("n_a"), F.col("n_b"), F.col("left_a"), F.col("left_b")))
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 

@@ -74,8 +74,11 @@ def _dealer(width: int, bits: int):
     """Slices of (doc_id, text) to rows for each bucket; ``ids`` (with the number of shingles) goes with bucket 0."""
     import hashlib
 
+    from pyspark import TaskContext
+
     def deal(batches):
-        for batch in (some for whole in batches for some in slices(whole, 1)):
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(some for whole in batches for some in slices(whole, 1)):
             docs, ids = batch.num_rows, batch.column(0).to_pylist()
             of, hashes = shingles(batch.column(1).to_pylist(), width)
             token = (hashes >> np.uint64(32 - bits)).astype(np.int64)
@@ -89,7 +92,8 @@ def _dealer(width: int, bits: int):
             cuts = np.searchsorted(keys, np.arange((1 << bits) + 1) << (place + 32))
             low = (keys & 0xFFFFFFFF).astype("<u4")
             table = np.array([[i is not None, i or 0, n] for i, n in zip(ids, sizes.tolist(), strict=True)], dtype="<i8").tobytes()
-            chunk = hashlib.blake2b(table + low.tobytes(), digest_size=12).hexdigest()
+            # slices with the same rows differ by their place; a slice that is read in another order differs by its content
+            chunk = f"{part}-{number}-{hashlib.blake2b(table + low.tobytes(), digest_size=12).hexdigest()}"
             n = 1 << bits
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(n), pa.int32()), pa.array([chunk] * n), pa.array([docs] * n, pa.int32()),

@@ -78,6 +78,14 @@ def test_one_of_each_and_empty(spark):
     assert shingle_join.classes(docs.limit(0)).collect() == []
 
 
+def test_slices_with_the_same_rows(spark):
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g i"), (3, "x y"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    nulls = spark.createDataFrame([(None, None)] * 4, "doc_id long, text string").repartition(4)
+    got = shingle_join.classes(docs.union(docs).union(nulls)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == sorted(_classes(rows) * 2 + [(None, 0, None)] * 4, key=repr)
+
+
 def test_boundary_follows_cost(spark):
     schema = "n long, scan double, tokens array<long>"
     dear, cheap = [(8, 1000.0, list(range(8)))], [(8, 1.0, list(range(8)))]

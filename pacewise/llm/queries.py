@@ -26,6 +26,12 @@ def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return shingle_join.classes(table(spark, folder, "documents"), width=5, percent=75)
 
 
+@_query
+def jaccard_link_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """op1 with the number of links of each document, which the columns of op1's SQL do not have."""
+    return shingle_join.link_counts(table(spark, folder, "documents"), width=5, percent=75)
+
+
 @_query
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses(table(spark, folder, "documents")).drop("detections")

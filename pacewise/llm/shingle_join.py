@@ -14,6 +14,8 @@
    several components have count: a document with too few of them has no link outside its component and leaves, and the others
    are joined as in 3 by these shingles alone, between different components. So a large group of near copies costs as many
    checks as it has members, and no link between components is lost.
+5. *Counts of links* (``link_counts``): all links lie inside components, whose classes are compared block by block, each class
+   weighted by its copies. A task returns a number for each class, not pairs.
 
 Hashes have 40 bits and more, so that two different shingles of a pair of documents get the same one about once in
 a million pairs; such a case changes an overlap by one.
@@ -25,7 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacewise.llm.common import NOT_SPACE, Words, counted, distinct, mix, slices, written
@@ -155,21 +157,20 @@ def _assembler(bits: int, percent: int):
         need = -(-percent * size // 100)
         listed = np.arange(len(owner)) - start[owner] < (repeated - need + 1)[owner]
         scan = np.bincount(owner, weights=np.where(listed, np.exp2(rank / 8), 0.0), minlength=docs).astype(np.float64)
-        full = np.where(stays & (repeated == size), 1, 0)
         ids = pa.array(table[:, 1], mask=table[:, 0] == 0)
-        sums_ = [pa.array(t, mask=full == 0) for t in totals]
+        sums_ = [pa.array(t, mask=~stays) for t in totals]
         offsets = pa.array(np.concatenate(([0], np.cumsum(kept))).astype(np.int32))
         lists = pa.ListArray.from_arrays(offsets, pa.array(token), mask=pa.array(~stays))
         return pa.table(
-            [ids, pa.array(size), pa.array(size - repeated), *sums_, pa.array(scan), lists],
+            [ids, pa.array(size), pa.array(size - repeated), *sums_, pa.array(scan, mask=~stays), lists],
             names=["doc_id", "n_shingles", "unique", "first_sum", "second_sum", "scan", "tokens"])
 
     return assemble
 
 
 def shingle_sets(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """A row for each row of ``docs``: doc_id, n_shingles, unique (shingles in no other row), sums (a checksum of the set, if
-    all of it occurs elsewhere), scan (list entries to read) and tokens (null without any possible partner)."""
+    """A row for each row of ``docs``: doc_id, n_shingles, unique (shingles in no other row), sums (a checksum of the shingles
+    that occur elsewhere), scan (list entries to read) and tokens (those shingles); the last four are null without any possible partner."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(8, math.ceil(math.log2(max(1, size / BUCKET_BYTES))))
@@ -275,24 +276,34 @@ def _across(listed: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """The sets of all documents, and edges (a, b) whose components are those of all links: every copy with its class's smallest
-    id, and checked links between classes that join whatever belongs together."""
+#: What tells a class of copies from others: all of its shingles occur elsewhere, so that equal checksums mean equal sets.
+_WHOLE = ["n_shingles", "first_sum", "second_sum"]
+
+
+def _full() -> Column:
+    return F.col("tokens").isNotNull() & (F.col("unique") == 0)
+
+
+def similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sets of all documents; edges (a, b) whose components are those of all links: every copy with its class's smallest
+    id, and checked links between classes that join whatever belongs together; and a row for each class, with its number of rows."""
     sets = shingle_sets(docs, width, percent)
-    whole = ["n_shingles", "first_sum", "second_sum"]
-    copies = sets.where("first_sum is not null").groupBy(*whole).agg(F.min("doc_id").alias("b"), F.count("*").alias("copies"))
-    found = sets.where("tokens is not null").join(copies, whole, "left")
-    edges = [written(sets.where("first_sum is not null").join(copies.where("copies > 1"), whole).where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"), "copies")]
-    unlike = found.where("b is null or doc_id = b").dropDuplicates(["doc_id", *whole])
-    reps = written(unlike.where("n_shingles > 1").select("doc_id", F.col("n_shingles").alias("n"), "unique", "scan", "tokens"), "classes")
-    listed = written(keys(reps, boundary(reps, percent), percent), "keys")
+    copies = sets.where(_full()).groupBy(*_WHOLE).agg(F.min("doc_id").alias("b"), F.count("*").alias("copies"))
+    edges = [written(sets.where(_full()).join(copies.where("copies > 1"), _WHOLE).where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"), "copies")]
+    found = sets.where("tokens is not null").join(copies.withColumn("unique", F.lit(0).cast("long")), [*_WHOLE, "unique"], "left")
+    # a set with shingles of its own is alone in its class, but for rows with the same id
+    unlike = found.where("b is null or doc_id = b").groupBy("doc_id", "unique", *_WHOLE).agg(
+        F.coalesce(F.max("copies"), F.count("*")).alias("copies"), F.first("scan").alias("scan"), F.first("tokens").alias("tokens"))
+    reps = written(unlike.select("doc_id", F.col("n_shingles").alias("n"), "unique", "first_sum", "second_sum", "copies", "scan", "tokens"), "classes")
+    several = reps.where("n > 1")
+    listed = written(keys(several, boundary(several, percent), percent), "keys")
     band = F.log("n") / math.log(100 / percent)
     led = _leaders(listed, F.col("n"), F.floor(band)).union(_leaders(listed, F.xxhash64("doc_id", "key"), F.floor(band + 0.5))).distinct()
-    links = written(verified(led, reps, percent), "links").select("a", "b")
-    foreign = _foreign(reps, _groups(links), percent)
+    links = written(verified(led, several, percent), "links").select("a", "b")
+    foreign = _foreign(several, _groups(links), percent)
     outside = keys(foreign, boundary(foreign, percent), percent).join(foreign.select("doc_id", "component"), "doc_id")
-    across = verified(_across(written(outside, "outside"), percent), reps, percent).select("a", "b")
-    return sets, written(links.union(across).union(edges[0]), "links")
+    across = verified(_across(written(outside, "outside"), percent), several, percent).select("a", "b")
+    return sets, written(links.union(across).union(edges[0]), "links"), reps
 
 
 def classes(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -302,15 +313,182 @@ def classes(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Da
     Rows with a null doc_id get a null component and link nothing. Rows with the same doc_id are one node with the links of
     each. ``docs`` must give its rows in the same order when it is read again, as files do; other columns are not read.
     """
-    sets, edges = similar(docs, width, percent)
-    found = components(edges).select(F.col("node").alias("doc_id"), "component")
-    rows = sets.select("doc_id", "n_shingles").join(found, "doc_id", "left")
+    sets, edges, _ = similar(docs, width, percent)
+    return _labelled(sets, components(edges))
+
+
+def _labelled(sets: DataFrame, groups: DataFrame) -> DataFrame:
+    rows = sets.select("doc_id", "n_shingles").join(groups.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+#: Shingles on one side of a comparison, and for how many a short set counts: 1024 sets at most meet 1024 others.
+TILE, LEAST = 1 << 21, 1 << 11
+#: Columns of a matrix product, and pairs counted at once from lists.
+COLUMNS, PAIRS = 1 << 12, 1 << 22
+
+
+def _overlaps(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], rows: int, columns: int) -> np.ndarray:
+    """Shingles that each set of one side has in common with each of the other; sides are (set, shingle) pairs.
+
+    Frequent shingles count by matrix products, rare ones by their lists.
+    """
+    total = np.zeros((rows, columns), dtype=np.int64)
+    both = np.intersect1d(distinct(left[1]), distinct(right[1]), assume_unique=True)
+    if not len(both):
+        return total
+
+    def known(side: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(both, side[1]), len(both) - 1)
+        keep = both[at] == side[1]
+        order = np.argsort(at[keep], kind="stable")
+        return side[0][keep][order], at[keep][order]
+
+    (one, one_at), (two, two_at) = known(left), known(right)
+    often, other = np.bincount(one_at, minlength=len(both)), np.bincount(two_at, minlength=len(both))
+    heavy = often * other * 64 > rows * columns if rows * columns > 4096 else np.zeros(len(both), dtype=bool)
+    number = np.cumsum(heavy) - 1
+    for at in range(0, int(heavy.sum()), COLUMNS):
+        chosen = heavy & (number >= at) & (number < at + COLUMNS)
+        sides = []
+        for owner, place, size in ((one, one_at, rows), (two, two_at, columns)):
+            use = chosen[place]
+            matrix = np.zeros((size, COLUMNS), dtype=np.float32)
+            matrix[owner[use], number[place[use]] - at] = 1
+            sides.append(matrix)
+        total += (sides[0] @ sides[1].T).astype(np.int64)
+    first = np.cumsum(other) - other
+    use = ~heavy[one_at]
+    one, one_at = one[use], one_at[use]
+    meets = other[one_at]
+    ends = np.cumsum(meets)
+    at = 0
+    while at < len(one):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
+        some = meets[at:to]
+        place = np.arange(int(some.sum())) - np.repeat(np.cumsum(some) - some, some) + np.repeat(first[one_at[at:to]], some)
+        cell = np.repeat(one[at:to], some) * columns + two[place]
+        total += np.bincount(cell, minlength=rows * columns).reshape(rows, columns)
+        at = to
+    return total
+
+
+_COUNTED = "class long, links long"
+
+
+def _link_counter(percent: int):
+    def count(group):
+        """Links of each class with those of the same component: of the other side, or of the own one if there is no second."""
+        component, second = group.column("component").to_numpy(), group.column("second").to_numpy(zero_copy_only=False)
+        order = np.lexsort((second, component))
+        lists = group.column("tokens").combine_chunks()
+        offsets, tokens = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+        n, copies, name = (group.column(c).to_numpy() for c in ("n", "copies", "class"))
+        links = np.zeros(len(n), dtype=np.int64)
+
+        def side(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return np.repeat(np.arange(len(rows)), offsets[rows + 1] - offsets[rows]), np.concatenate([tokens[offsets[r] : offsets[r + 1]] for r in rows])
+
+        cuts = np.flatnonzero(np.diff(component[order])) + 1
+        for rows in np.split(order, cuts):
+            a, b = rows[~second[rows]], rows[second[rows]]
+            if within := not len(b):
+                b = a
+            if not len(a):
+                continue
+            common = _overlaps(side(a), side(b), len(a), len(b))
+            like = 100 * common >= percent * (n[a][:, None] + n[b][None, :] - common)
+            if within:
+                np.fill_diagonal(like, False)
+            else:
+                links[b] += copies[a] @ like
+            links[a] += like @ copies[b]
+        some = np.flatnonzero(links)
+        return pa.table([pa.array(name[some]), pa.array(links[some])], names=["class", "links"])
+
+    return count
+
+
+def _class() -> Column:
+    return F.xxhash64("doc_id", "n", "unique", "first_sum", "second_sum")
+
+
+def _counted_links(reps: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """class and links (rows of other classes that are similar enough) of each class with any.
+
+    Links are inside components. Those of one tile at most are counted many in a task; larger ones are cut
+    into tiles by size, and each pair of tiles that sizes allow is counted for itself. No pair of documents becomes a row.
+    """
+    units = F.greatest(F.size("tokens"), F.lit(LEAST)).cast("long")
+    members = reps.where("n > 1").join(groups.select(F.col("node").alias("doc_id"), "component"), "doc_id")
+    members = members.select("component", _class().alias("class"), "n", "copies", units.alias("units"), "tokens")
+    sums = written(members.groupBy("component").agg(F.count("*").alias("members"), F.sum("units").alias("whole")).where("members > 1"), "sums")
+    members = written(members.join(sums.select("component", "whole"), "component"), "members")
+    columns = ["component", "class", "n", "copies", "tokens"]
+    total = sums.where(F.col("whole") <= TILE).agg(F.sum("whole")).first()[0] or 0
+    bucket = F.concat(F.lit("b"), F.pmod(F.xxhash64("component"), F.lit(1 + 4 * total // TILE)))
+    small = members.where(F.col("whole") <= TILE).select(bucket.alias("pair"), F.lit(False).alias("second"), *columns)
+    found = small.groupBy("pair").applyInArrow(_link_counter(percent), _COUNTED)
+    large = members.where(F.col("whole") > TILE)
+    amount = sums.where(F.col("whole") > TILE).agg(F.sum("whole")).first()[0] or 0
+    if amount:
+        order = ["component", "n", "class"]
+        dealt = large.repartitionByRange(max(1, 4 * amount // TILE), *order).sortWithinPartitions(*order)
+        dealt = written(dealt.mapInArrow(_running, "part long, before long, component long, class long, n long, copies long, units long, tokens array<long>"), "dealt")
+        parts = dealt.groupBy("component", "part").agg(F.sum("units").alias("units"))
+        start = parts.select("component", "part", (F.sum("units").over(Window.partitionBy("component").orderBy("part")) - F.col("units")).alias("start"))
+        tiles = dealt.join(start, ["component", "part"]).select(*columns, F.floor((F.col("start") + F.col("before")) / TILE).alias("tile"))
+        tiles = written(tiles, "tiles")
+        bounds = tiles.groupBy("component", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        far = bounds.select("component", F.col("tile").alias("tile_b"), F.col("low").alias("low_b"))
+        meet = bounds.join(far, "component").where((F.col("tile") <= F.col("tile_b")) & (100 * F.col("high") >= percent * F.col("low_b")))
+        one, two = (F.struct(F.lit(k).alias("second"), F.col(c).alias("tile")) for k, c in ((False, "tile"), (True, "tile_b")))
+        sides = meet.select("component", F.concat_ws("-", "component", "tile", "tile_b").alias("pair"), F.explode(F.when(F.col("tile") == F.col("tile_b"), F.array(one)).otherwise(F.array(one, two))).alias("side"))
+        pairs = tiles.join(sides.select("component", "pair", "side.second", "side.tile"), ["component", "tile"]).select("pair", "second", *columns)
+        found = found.union(pairs.groupBy("pair").applyInArrow(_link_counter(percent), _COUNTED))
+    return written(found.groupBy("class").agg(F.sum("links").alias("links")), "counted")
+
+
+def _running(batches):
+    """Rows with their partition and the units before them in their component there."""
+    from pyspark import TaskContext
+
+    part, last, behind = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        before, component, units = [], batch.column("component").to_pylist(), batch.column("units").to_pylist()
+        for c, u in zip(component, units, strict=True):
+            behind = behind if c == last else 0
+            before.append(behind)
+            last, behind = c, behind + u
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part] * len(before), pa.int64()), pa.array(before, pa.int64()), *(batch.column(c) for c in ("component", "class", "n", "copies", "units", "tokens"))],
+            names=["part", "before", "component", "class", "n", "copies", "units", "tokens"])
+
+
+def link_counts(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, n_links and component_id of every row of ``docs``; see ``classes``.
+
+    n_links counts the other rows, with a doc_id, whose similarity is enough, copies included. A doc_id of several rows
+    has the sum of theirs, links between them too. Rows without doc_id have 0 links.
+    """
+    sets, edges, reps = similar(docs, width, percent)
+    groups = written(components(edges), "groups")
+    links = _counted_links(reps, groups, percent)
+    # rows of one class: copies, or rows of one id with shingles of their own, of which the others have none
+    alike = F.when(100 * (F.col("n") - F.col("unique")) >= percent * (F.col("n") + F.col("unique")), F.col("copies") - 1).otherwise(0)
+    own = F.when(F.col("unique") > 0, F.col("doc_id")).otherwise(0)
+    of_class = reps.withColumn("class", _class()).join(links, "class", "left").select(
+        F.col("n").alias("n_shingles"), "unique", "first_sum", "second_sum", own.alias("own"), (F.coalesce("links", F.lit(0)) + alike).alias("links"))
+    key = [*_WHOLE, "unique"]
+    rows = sets.where("tokens is not null").select("doc_id", own.alias("own"), *key).join(of_class, [*key, "own"])
+    counts = rows.groupBy("doc_id").agg(F.sum("links").alias("n_links"))
+    found = _labelled(sets, groups).join(counts, "doc_id", "left")
+    return found.select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"), "component_id")
+
+
 def one_of_each(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that are alone or the smallest doc_id of their component; rows with a null id stay. Of rows with the
     same id that stays, all stay."""
-    _, edges = similar(docs, width, percent)
+    _, edges, _ = similar(docs, width, percent)
     gone = components(edges).where("node <> component").select(F.col("node").alias("doc_id"))
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -78,6 +78,35 @@ def test_one_of_each_and_empty(spark):
     assert shingle_join.classes(docs.limit(0)).collect() == []
 
 
+def _link_counts(rows):
+    sets, counts = [(i, _shingles(t)) for i, t in rows if i is not None], {}
+    for (i, a), (j, b) in itertools.combinations(sets, 2):
+        common = len(a & b)
+        if common and 100 * common >= 75 * (len(a) + len(b) - common):
+            counts[i], counts[j] = counts.get(i, 0) + 1, counts.get(j, 0) + 1
+    return sorted(((i, n, counts.get(i, 0), c) for i, n, c in _classes(rows)), key=repr)
+
+
+@pytest.mark.parametrize("tile", [1 << 21, 300])
+def test_link_counts(spark, monkeypatch, tile):
+    monkeypatch.setattr(shingle_join, "TILE", tile)
+    monkeypatch.setattr(shingle_join, "LEAST", 20)
+    rows = _texts(5)
+    docs = with_clashes(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2))
+    want = _link_counts(rows)
+    assert sorted((tuple(r) for r in shingle_join.link_counts(docs).collect()), key=repr) == want and max(w[2] for w in want) > 20
+
+
+def test_overlaps_by_products_and_lists(monkeypatch):
+    monkeypatch.setattr(shingle_join, "COLUMNS", 7)
+    monkeypatch.setattr(shingle_join, "PAIRS", 50)
+    rng = np.random.default_rng(3)
+    sides = [[np.flatnonzero(rng.random(200) < np.where(np.arange(200) < 30, 0.8, 0.05)) for _ in range(k)] for k in (90, 70)]
+    flat = [(np.repeat(np.arange(len(s)), [len(x) for x in s]), np.concatenate(s)) for s in sides]
+    want = [[len(np.intersect1d(a, b)) for b in sides[1]] for a in sides[0]]
+    assert shingle_join._overlaps(*flat, 90, 70).tolist() == want
+
+
 def test_slices_with_the_same_rows(spark):
     rows = [(1, "a b c d e f g h"), (2, "a b c d e f g i"), (3, "x y"), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)

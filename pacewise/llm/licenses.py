@@ -169,8 +169,8 @@ def _gate(pattern: str) -> str:
     return max(plain, key=len, default="")  # without one, the regex alone decides
 
 
-#: What a text must hold so that a rule or base phrase can match; all in lower case.
-KEYWORDS = ("licen", "copyright", "reserved", "public domain", "creative", "unlicense", "wtfpl", "gpl", "cc", "permission", "redistribution", "proprietary", "reproduced")
+#: What a text must hold so that a rule or base phrase can match; all in lower case, and within a word: anything may stand between words.
+KEYWORDS = ("licen", "copyright", "reserved", "domain", "creative", "unlicense", "wtfpl", "gpl", "cc", "permission", "redistribution", "proprietary", "reproduced")
 
 
 def _lowered(text: Column) -> Column:

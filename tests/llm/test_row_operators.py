@@ -239,6 +239,36 @@ def test_license_rules(spark):
     assert len(licenses.rules()) > 300 and not heads & {"the", "a", "in", "of"}
 
 
+def _longest(parsed):
+    """A match of a parsed pattern with the most words; options are taken."""
+    out = ""
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            out += chr(value)
+        elif kind == "IN":
+            out += chr(value[0][1] if str(value[0][0]) == "LITERAL" else value[0][1][0])
+        elif kind == "MAX_REPEAT":
+            out += _longest(value[2]) * value[1]
+        elif kind == "SUBPATTERN":
+            out += _longest(value[3])
+        elif kind == "BRANCH":
+            out += max(map(_longest, value[1]), key=lambda t: (t.count(" "), len(t)))
+        else:
+            raise ValueError(kind)
+    return out
+
+
+def test_every_rule_passes_the_prefilter_whatever_joins_its_words(spark):
+    texts = [_longest(re._parser.parse(r.pattern)) for r in licenses.rules()]
+    assert all(re.fullmatch(r.pattern, t) for r, t in zip(licenses.rules(), texts, strict=True))
+    joined = [t.replace(" ", sign) for t in dict.fromkeys(texts) for sign in (" ", "\n", "-")]
+    frame = spark.createDataFrame(list(enumerate(joined)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.licenses(frame).collect()}
+    assert [joined[n] for n, r in got.items() if not r.labels] == []
+    assert got[joined.index("public-domain")].labels == "public-domain" and got[joined.index("public\ndomain")].score == 0.6
+
+
 # Language and quality
 
 

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from pacewise.llm.common import LOWER, UPPER
 
-#: Words that a rule may look at.
-VIEW = 14
 #: Words: letters and digits of ASCII, and all beyond ASCII.
 _WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 #: The base phrases and their labels.
@@ -169,6 +167,26 @@ def _gate(pattern: str) -> str:
     return max(plain, key=len, default="")  # without one, the regex alone decides
 
 
+def _most_words(pattern: str) -> int:
+    """Words of the longest match of a pattern, every option taken."""
+    most, at = 1, 0
+    while at < len(pattern):
+        if pattern[at] == "(":
+            depth, end = 1, at + 1
+            while depth:
+                depth += (pattern[end] == "(") - (pattern[end] == ")")
+                end += 1
+            most += max(_most_words(option) for option in _options(pattern[at + 1 : end - 1])) - 1
+            at = end
+        else:
+            most += pattern[at] == " "
+            at += 1
+    return most
+
+
+#: Words that a rule may look at: those of the longest match.
+VIEW = max(_most_words(rule.pattern) for rule in rules())
+
 #: What a text must hold so that a rule or base phrase can match; all in lower case, and within a word: anything may stand between words.
 KEYWORDS = ("licen", "copyright", "reserved", "domain", "creative", "unlicense", "wtfpl", "gpl", "cc", "permission", "redistribution", "proprietary", "reproduced")
 

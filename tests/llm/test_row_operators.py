@@ -269,6 +269,15 @@ def test_every_rule_passes_the_prefilter_whatever_joins_its_words(spark):
     assert got[joined.index("public-domain")].labels == "public-domain" and got[joined.index("public\ndomain")].score == 0.6
 
 
+def test_a_detection_reaches_its_real_end(spark):
+    texts = [_longest(re._parser.parse(r.pattern)) for r in licenses.rules()]
+    assert licenses.VIEW == max(len(t.split(" ")) for t in texts)
+    long = [t for t in dict.fromkeys(texts) if len(t.split(" ")) > 14]
+    frame = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
+    got = {r.doc_id: r.detections for r in licenses.licenses(frame).collect()}
+    assert len(long) > 10 and all(max(d.end_word for d in got[n]) == len(t.split(" ")) for n, t in enumerate(long))
+
+
 # Language and quality
 
 

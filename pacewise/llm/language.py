@@ -89,8 +89,11 @@ class Profiles:
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """A language for each text, and how much farther the next profile is: 0 (a tie) to 1."""
         of, gram, counts = grams(texts)
-        packed = np.sort((of << 44) | (np.maximum((1 << 18) - 1 - counts, 0) << 26) | np.arange(len(of)))
-        order = packed & ((1 << 26) - 1)  # by text, count and n-gram
+        # by text, count and n-gram; one packed key sorts faster, where counts, places and texts fit into it
+        if counts.max(initial=0) < 1 << 18 and len(of) <= 1 << 26 and len(texts) <= 1 << 19:
+            order = np.sort((of << 44) | (((1 << 18) - 1 - counts) << 26) | np.arange(len(of))) & ((1 << 26) - 1)
+        else:
+            order = np.lexsort((gram, -counts, of))
         gram = gram[order]
         starts = np.searchsorted(of, np.arange(len(texts)))
         rank = np.arange(len(of)) - starts[of]

@@ -298,6 +298,14 @@ def test_rank_order_profiles(spark, odd, empty):
     assert language.identified(empty).collect() == []
 
 
+def test_very_frequent_grams_rank_by_their_count():
+    _, gram, n = language.grams(["b " * 300_000 + "a " * 270_000])
+    by_code, by_count = np.arange(len(gram)), np.argsort(np.lexsort((gram, -n)))
+    assert (by_code != by_count).any()
+    profiles = language.Profiles(["code", "count"], gram, np.stack((by_code, by_count), axis=1))
+    assert profiles.predict(["x", "b " * 300_000 + "a " * 270_000])[0][1] == "count"
+
+
 def test_grams_are_those_of_a_plain_count():
     texts = ["Ab, a1b", None, "éß  日", "aa aa"]
     of, gram, counts = language.grams(texts)

@@ -18,7 +18,8 @@
    weighted by its copies. A task returns a number for each class, not pairs.
 
 Hashes have 40 bits and more, so that two different shingles of a pair of documents get the same one about once in
-a million pairs; such a case changes an overlap by one.
+a million pairs; such a case changes an overlap by one. Within one text of n distinct shingles that happens with a chance of about
+n^2 / 2^41, and its size in the join is then one less; n_shingles is counted from 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -69,6 +70,13 @@ def _counts(raw: bytes, size: int) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if len(raw) == 2 * size else "<u4").astype(np.int64)
 
 
+def _distinct_counts(of: np.ndarray, hashes: np.ndarray, docs: int) -> np.ndarray:
+    """Distinct whole hashes of each text."""
+    order = np.argsort(of, kind="stable")
+    hashes, cuts = hashes[order], np.searchsorted(of[order], np.arange(docs + 1))
+    return np.array([len(distinct(hashes[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)], dtype=np.int64)
+
+
 _DEALT = "bucket int, chunk string, docs int, counts binary, tokens binary, ids binary"
 
 
@@ -90,10 +98,10 @@ def _dealer(width: int, bits: int):
             # bucket, then document, then the lower bits
             keys = distinct((token >> 32 << (place + 32)) | (of.astype(np.int64) << 32) | (token & 0xFFFFFFFF))
             owner = (keys >> 32) & ((1 << place) - 1)
-            sizes = np.bincount(owner, minlength=docs)
+            sizes, cut_sizes = _distinct_counts(of, hashes, docs), np.bincount(owner, minlength=docs)
             cuts = np.searchsorted(keys, np.arange((1 << bits) + 1) << (place + 32))
             low = (keys & 0xFFFFFFFF).astype("<u4")
-            table = np.array([[i is not None, i or 0, n] for i, n in zip(ids, sizes.tolist(), strict=True)], dtype="<i8").tobytes()
+            table = np.array([[i is not None, i or 0, n, m] for i, n, m in zip(ids, sizes.tolist(), cut_sizes.tolist(), strict=True)], dtype="<i8").tobytes()
             # slices with the same rows differ by their place; a slice that is read in another order differs by its content
             chunk = f"{part}-{number}-{hashlib.blake2b(table + low.tobytes(), digest_size=12).hexdigest()}"
             n = 1 << bits
@@ -126,7 +134,7 @@ def _repeated(group):
     return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
-_SETS = "doc_id long, n_shingles long, unique long, first_sum long, second_sum long, scan double, tokens array<long>"
+_SETS = "doc_id long, n_shingles long, size long, unique long, first_sum long, second_sum long, scan double, tokens array<long>"
 
 
 def _assembler(bits: int, percent: int):
@@ -136,13 +144,13 @@ def _assembler(bits: int, percent: int):
         if group.num_rows != 1 << bits:
             raise RuntimeError("a slice of documents was read in different ways; its input must keep its order when read again")
         docs = group.column("docs")[0].as_py()
-        table = np.frombuffer(next(i for i in group.column("ids").to_pylist() if i is not None), "<i8").reshape(docs, 3)
+        table = np.frombuffer(next(i for i in group.column("ids").to_pylist() if i is not None), "<i8").reshape(docs, 4)
         counts = np.concatenate([_counts(c, docs) for c in group.column("counts").to_pylist()])
         owner = np.repeat(np.tile(np.arange(docs), 1 << bits), counts)
         token = np.frombuffer(b"".join(group.column("tokens").to_pylist()), "<u4").astype(np.int64)
         token |= np.repeat(np.repeat(np.arange(1 << bits), docs), counts) << 32
         rank = np.frombuffer(b"".join(group.column("classes").to_pylist()), np.uint8)
-        repeated, size = np.bincount(owner, minlength=docs), table[:, 2]
+        repeated, size = np.bincount(owner, minlength=docs), table[:, 3]
         stays = (size > 0) & (100 * repeated >= percent * size) & (table[:, 0] > 0)
         keep = stays[owner]
         owner, token, rank = owner[keep], token[keep], rank[keep]
@@ -162,14 +170,14 @@ def _assembler(bits: int, percent: int):
         offsets = pa.array(np.concatenate(([0], np.cumsum(kept))).astype(np.int32))
         lists = pa.ListArray.from_arrays(offsets, pa.array(token), mask=pa.array(~stays))
         return pa.table(
-            [ids, pa.array(size), pa.array(size - repeated), *sums_, pa.array(scan, mask=~stays), lists],
-            names=["doc_id", "n_shingles", "unique", "first_sum", "second_sum", "scan", "tokens"])
+            [ids, pa.array(table[:, 2]), pa.array(size), pa.array(size - repeated), *sums_, pa.array(scan, mask=~stays), lists],
+            names=["doc_id", "n_shingles", "size", "unique", "first_sum", "second_sum", "scan", "tokens"])
 
     return assemble
 
 
 def shingle_sets(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """A row for each row of ``docs``: doc_id, n_shingles, unique (shingles in no other row), sums (a checksum of the shingles
+    """A row for each row of ``docs``: doc_id, n_shingles (by whole hashes), size (by cut ones, as all that follows), unique (shingles in no other row), sums (a checksum of the shingles
     that occur elsewhere), scan (list entries to read) and tokens (those shingles); the last four are null without any possible partner."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -277,7 +285,7 @@ def _across(listed: DataFrame, percent: int) -> DataFrame:
 
 
 #: What tells a class of copies from others: all of its shingles occur elsewhere, so that equal checksums mean equal sets.
-_WHOLE = ["n_shingles", "first_sum", "second_sum"]
+_WHOLE = ["size", "first_sum", "second_sum"]
 
 
 def _full() -> Column:
@@ -294,7 +302,7 @@ def similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tu
     # a set with shingles of its own is alone in its class, but for rows with the same id
     unlike = found.where("b is null or doc_id = b").groupBy("doc_id", "unique", *_WHOLE).agg(
         F.coalesce(F.max("copies"), F.count("*")).alias("copies"), F.first("scan").alias("scan"), F.first("tokens").alias("tokens"))
-    reps = written(unlike.select("doc_id", F.col("n_shingles").alias("n"), "unique", "first_sum", "second_sum", "copies", "scan", "tokens"), "classes")
+    reps = written(unlike.select("doc_id", F.col("size").alias("n"), "unique", "first_sum", "second_sum", "copies", "scan", "tokens"), "classes")
     several = reps.where("n > 1")
     listed = written(keys(several, boundary(several, percent), percent), "keys")
     band = F.log("n") / math.log(100 / percent)
@@ -478,7 +486,7 @@ def link_counts(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -
     alike = F.when(100 * (F.col("n") - F.col("unique")) >= percent * (F.col("n") + F.col("unique")), F.col("copies") - 1).otherwise(0)
     own = F.when(F.col("unique") > 0, F.col("doc_id")).otherwise(0)
     of_class = reps.withColumn("class", _class()).join(links, "class", "left").select(
-        F.col("n").alias("n_shingles"), "unique", "first_sum", "second_sum", own.alias("own"), (F.coalesce("links", F.lit(0)) + alike).alias("links"))
+        F.col("n").alias("size"), "unique", "first_sum", "second_sum", own.alias("own"), (F.coalesce("links", F.lit(0)) + alike).alias("links"))
     key = [*_WHOLE, "unique"]
     rows = sets.where("tokens is not null").select("doc_id", own.alias("own"), *key).join(of_class, [*key, "own"])
     counts = rows.groupBy("doc_id").agg(F.sum("links").alias("n_links"))

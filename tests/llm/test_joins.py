@@ -107,6 +107,17 @@ def test_overlaps_by_products_and_lists(monkeypatch):
     assert shingle_join._overlaps(*flat, 90, 70).tolist() == want
 
 
+def test_shingles_are_counted_before_their_hashes_are_cut(monkeypatch):
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    monkeypatch.setattr(TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    monkeypatch.setattr(shingle_join, "shingles", lambda texts, width: (np.array([0, 0, 0, 1, 1]), np.array([5, 6, 1 << 60, 7, 7], dtype=np.uint64)))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["x", "y"]})
+    table = next(t for t in next(shingle_join._dealer(5, 8)([batch])).column("ids").to_pylist() if t)
+    assert np.frombuffer(table, "<i8").reshape(2, -1)[:, 2].tolist() == [3, 1]
+
+
 def test_slices_with_the_same_rows(spark):
     rows = [(1, "a b c d e f g h"), (2, "a b c d e f g i"), (3, "x y"), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)

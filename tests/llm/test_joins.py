@@ -2,6 +2,8 @@
 
 import itertools
 import random
+import re
+import string
 import zlib
 
 import numpy as np
@@ -12,9 +14,10 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from pacewise.llm import packing, quotations, shingle_join, vector_join
+from pacewise.llm import packing, personal_data, quality, quotations, shingle_join, vector_join
+from pacewise.llm.common import written
 from pacewise.llm.components import components
-from tests.llm.helpers import Links, spaced_words, with_clashes
+from tests.llm.helpers import Links, spaced_words, with_clashes, words
 
 
 def test_components(spark):
@@ -272,3 +275,53 @@ def test_pipeline_stages(spark, tables):
             assert docs.columns == columns
     assert seen[0] > seen[1] > seen[2] >= seen[3] == seen[4]
     assert docs.select("doc_id").distinct().count() == seen[4]
+
+
+def _without_passages(text, items):
+    """The text without the windows of the items, and whether anything else is left; by a plain scan."""
+    def found(t):
+        return [(m.start(), m.end()) for m in re.finditer("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase)))]
+
+    places, all_words, windows = found(text), words(text), set()
+    for item in map(words, items):
+        windows |= {tuple(item[i : i + 10]) for i in range(max(len(item) - 10, 0) + 1 if item else 0)}
+    hit = set()
+    for n in {len(w) for w in windows}:
+        for i in range(len(all_words) - n + 1):
+            if tuple(all_words[i : i + n]) in windows:
+                hit |= set(range(i, i + n))
+    out, at = "", 0
+    for i in sorted(hit):
+        if i - 1 not in hit:
+            out += text[at : places[i][0]]
+        at = places[i][1]
+    return out + (text or "")[at:], not hit or len(hit) < len(all_words)
+
+
+def test_rows_of_each_pipeline_stage(spark, tables):
+    stages, docs = dict(corpus_pipeline.STAGES), spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text")
+
+    def run(name, before):
+        after = written(stages[name](spark, before, tables), "tested")
+        return after, [(r.doc_id, r.text) for r in before.collect()], sorted((r.doc_id, r.text) for r in after.collect()) if name != "packing" else after.collect()
+
+    model = quality.fit(docs, spark.read.parquet(f"{tables}/labels.parquet"))
+    docs, before, got = run("quality", docs)
+    scores = model.scores([t for _, t in before])
+    assert got == sorted(r for r, score in zip(before, scores, strict=True) if score >= 0.5)
+    docs, before, got = run("near_duplicates", docs)
+    kept = {i for i, _, component in _classes(before) if i == component}
+    assert got == sorted(r for r in before if r[0] in kept)
+    docs, before, got = run("decontamination", docs)
+    items = [r.text for r in spark.read.parquet(f"{tables}/benchmark.parquet").collect()]
+    cut = [(i, *_without_passages(t, items)) for i, t in before]
+    assert got == sorted((i, t) for i, t, stays in cut if stays) and any((i, t) not in before for i, t in got)
+    field = personal_data.fit(docs)
+    docs, before, got = run("personal_data", docs)
+    assert got == sorted((i, personal_data.redact(t, personal_data.all_spans(t, field)[1])) for i, t in before) and got != sorted(before)
+    library = Tokenizer.from_file(WORDS)
+    _, before, got = run("packing", docs)
+    pieces = {}
+    for r in sorted(got, key=lambda r: r.start):
+        pieces.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+    assert pieces == {i: [*library.encode(t, add_special_tokens=False).ids, 2] for i, t in before}

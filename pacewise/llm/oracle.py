@@ -4,6 +4,20 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _WORDS = rf"regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
 _SPACED = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 
+#: CTE of the 256 steps of CRC-32, and the checksum of a text's UTF-8 bytes with them.
+_CRC_TABLE = """steps AS (
+            SELECT i, i::BIGINT AS v, 0 AS k FROM range(256) r(i)
+            UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM steps WHERE k < 8
+        ),
+        crc AS (SELECT list(v ORDER BY i) AS tab FROM steps WHERE k = 8)"""
+
+
+def _crc(text: str) -> str:
+    digits = f"hex(encode({text}))"
+    each = f"list_transform(range(0, strlen({text})), lambda i: ('0x' || substr({digits}, 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {each}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
 _SQL = {
     "op1_jaccard_join": f"""
         WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
@@ -52,6 +66,30 @@ _SQL = {
             sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
         FROM d LEFT JOIN cover USING (r) LEFT JOIN found USING (r)
     """,
+    "op13_spelling_variants": rf"""
+        WITH RECURSIVE {_CRC_TABLE},
+        found AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+        runs AS (SELECT doc_id, run, count(*) AS n FROM found WHERE length(run) >= 7 GROUP BY ALL),
+        hashed AS (SELECT run, n, {_crc("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM runs, crc),
+        lost AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+        words AS (SELECT word, sum(n)::BIGINT AS n FROM lost WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        gaps AS (
+            SELECT word, n, p, substr(word, p, 1) AS letter, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words)
+        ),
+        shorter AS (SELECT DISTINCT g.word AS a, g.n AS a_n, w.word AS b, w.n AS b_n FROM gaps g JOIN words w ON g.rest = w.word),
+        near AS (
+            SELECT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b ON a.p = b.p AND a.rest = b.rest AND a.letter <> b.letter
+            UNION ALL SELECT a, b, b_n FROM shorter UNION ALL SELECT b, a, a_n FROM shorter
+        ),
+        best AS (SELECT word, count(*) AS n_near, max(near_n) AS form_n FROM near GROUP BY word),
+        first AS (SELECT word, n_near, form_n, (SELECT min(near) FROM near WHERE near.word = best.word AND near_n = form_n) AS form FROM best),
+        forms AS (SELECT words.word, words.n, form, form_n FROM words JOIN first USING (word) WHERE form_n >= 10 * words.n),
+        paths AS (SELECT word, form AS root FROM forms UNION ALL SELECT paths.word, forms.form FROM paths JOIN forms ON paths.root = forms.word),
+        ends AS (SELECT word, root FROM paths WHERE root NOT IN (SELECT word FROM forms))
+        SELECT words.word, forms.form, coalesce(ends.root, words.word) AS root, words.n, coalesce(first.n_near, 0)::BIGINT AS n_near, forms.form_n
+        FROM words LEFT JOIN first USING (word) LEFT JOIN forms ON forms.word = words.word LEFT JOIN ends ON ends.word = words.word
+    """,
 }
 
 

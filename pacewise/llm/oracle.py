@@ -66,6 +66,39 @@ _SQL = {
             sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
         FROM d LEFT JOIN cover USING (r) LEFT JOIN found USING (r)
     """,
+    "op11_prefix_trie": rf"""
+        WITH RECURSIVE {_CRC_TABLE},
+        t AS (
+            SELECT conv_id AS c, strlen(coalesce(text, '')) AS bytes,
+                length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '') AS say, turn
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        p AS (SELECT c, bytes, sha256(say) AS id, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(say)) AS pos FROM t),
+        h AS (SELECT c, {_crc("c::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT c FROM t), crc),
+        turns AS (
+            SELECT h.c, 0 AS own, p.pos, id, bytes FROM h JOIN p ON p.c = h.c - h.c % 5 AND p.pos <= h.h
+            UNION ALL SELECT h.c, 1, p.pos, id, bytes FROM h JOIN p ON p.c = h.c AND p.pos > h.h
+        ),
+        r AS (SELECT h.c, coalesce(list(id ORDER BY own, pos) FILTER (id IS NOT NULL), []) AS ids, list(bytes ORDER BY own, pos) FILTER (id IS NOT NULL) AS sizes
+            FROM h LEFT JOIN turns ON turns.c = h.c GROUP BY h.c),
+        pre AS (SELECT c, len(ids) AS n, unnest(range(0, len(ids) + 1)) AS depth, ids, sizes FROM r),
+        named AS (SELECT c, n, depth, sha256(array_to_string(ids[1:depth], ',')) AS node, CASE WHEN depth > 0 THEN sha256(array_to_string(ids[1 : depth - 1], ',')) END AS parent,
+            CASE WHEN depth > 0 THEN sizes[depth] ELSE 0 END AS size FROM pre),
+        nodes AS (
+            SELECT node, depth, min(parent) AS parent, min(c) AS conv_id, count(*) AS n_convs, max(size) AS size,
+                sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = depth), '')) AS ends_sha256
+            FROM named GROUP BY node, depth
+        ),
+        below AS (SELECT parent, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+        own AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN below ON nodes.node = below.parent),
+        up AS (SELECT node, node AS above FROM own UNION ALL SELECT up.node, own.parent FROM up JOIN own ON up.above = own.node WHERE own.parent IS NOT NULL),
+        sums AS (
+            SELECT above AS node, sum((own.n_children = 0)::INT)::BIGINT AS n_leaves, sum((own.n_convs - 1) * own.size)::BIGINT AS saved_tokens
+            FROM up JOIN own ON up.node = own.node GROUP BY above
+        )
+        SELECT own.conv_id, own.depth, up.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves, saved_tokens, own.ends_sha256
+        FROM own JOIN sums ON own.node = sums.node LEFT JOIN own up ON own.parent = up.node
+    """,
     "op13_spelling_variants": rf"""
         WITH RECURSIVE {_CRC_TABLE},
         found AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),

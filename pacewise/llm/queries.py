@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacewise.llm import decontamination, language, licenses, packing, personal_data, quality, quotations, shingle_join, spelling, token_counts, vector_join
+from pacewise.llm import decontamination, language, licenses, packing, personal_data, prefix_trie, quality, quotations, shingle_join, spelling, token_counts, vector_join
 from pacewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.piece_digests(packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), length=4096, end_id=2))
 
 
+@_query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(table(spark, folder, "conversations"))
+
+
 @_query
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"))

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacewise.llm import decontamination, language, licenses, packing, personal_data, prefix_trie, quality, quotations, shingle_join, spelling, token_counts, vector_join
+from pacewise.llm import decontamination, language, licenses, packing, personal_data, prefix_trie, quality, quotations, shingle_join, spelling, token_counts, urls, vector_join
 from pacewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,13 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_nodes(table(spark, folder, "conversations"))
 
 
+@_query
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    rules = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+    return urls.judged(pages, urls.fit(pages), rules)
+
+
 @_query
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"))

@@ -162,8 +162,8 @@ def _round(words: DataFrame, parts: DataFrame, shape: _Shape, start: int, stop:
     inside = F.col("part").between(start // _PART_BLOCKS, (stop - 1) // _PART_BLOCKS)
     for row in parts.where(inside).toLocalIterator():  # stop - start blocks of 8 bytes in all
         at = row.part * _PART_BLOCKS - start
-        some = np.frombuffer(bytes(row.bits), dtype=np.uint64)[: len(blocks) - at]
-        blocks[at : at + len(some)] = some
+        first, last = max(at, 0), min(at + _PART_BLOCKS, len(blocks))
+        blocks[first:last] = np.frombuffer(bytes(row.bits), dtype=np.uint64)[first - at : last - at]
     shared = words.sparkSession.sparkContext.broadcast(blocks)
     shards = [i for i in range(LONGEST_SHARD + 1) if shape.blocks[i] and shape.first[i] < stop and shape.first[i] + shape.blocks[i] > start]
     near = sorted({s for i in shards for s in (i, min(i + 1, LONGEST_SHARD))})

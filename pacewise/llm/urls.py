@@ -3,7 +3,7 @@
 A name such as ``freebetsonline`` is split by Viterbi search over unigram word frequencies, counted over the visible text of all
 pages and over the words that hyphens of hosts and slashes of paths already separate. Multinomial naive Bayes scores the words of
 host and path. It learns from all urls, with weak labels: a url one of whose words is a seed word is an example to block, any other
-one to allow. The model knows the ``words`` most frequent words (seeds always); pieces that no word explains count as one word.
+one to allow. The model knows the most frequent words (``words`` at most, and all seeds); pieces that no word explains count as one word.
 
 ``verdict`` is that of the longest fitting rule, else ``block`` where the probability ``score`` is above 0.5. A null url, one
 without ``://`` and one without words are allowed by the method with score 0. Repeated rows are judged each, other columns are not
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pacewise.llm.common import LOWER, UPPER
+from pacewise.llm.common import LOWER, UPPER, written
 
 #: Words of hosts and paths that mark unwanted pages.
 SEEDS = (
@@ -68,14 +68,25 @@ def _words_of(text: Column) -> Column:
 
 
 def known_words(pages: DataFrame, words: int = WORDS) -> DataFrame:
-    """``word, n``: the most frequent words of visible texts, of paths and of hosts with hyphens; of equal ones the smallest."""
+    """``word, n`` of the most frequent words of visible texts, of paths and of hosts with hyphens, over all pages.
+
+    Known are all words that occur at least 2^k times, for the smallest k that leaves no more than ``words`` of them.
+    """
     html = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<(script|style)\b.*?</\1>", " ")
     visible = F.regexp_replace(html, r"<[^>]*+>", " ")
     host, path = host_and_path(F.col("url"))
     parts = F.filter(F.split(host, "[.]"), lambda p: p.contains("-"))
     every = F.concat(_words_of(visible), _words_of(path), _words_of(F.array_join(parts, ".")))
     found = pages.select(F.explode(every).alias("word")).where(F.length("word") <= LONGEST)
-    return found.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(words)
+    counts = written(found.groupBy("word").agg(F.count("*").alias("n")), "words")
+    level = F.length(F.bin("n")).alias("level")
+    least, held = 64, 0
+    for row in counts.groupBy(level).count().orderBy(F.desc("level")).collect():  # 64 rows at most
+        held += row["count"]
+        if held > words:
+            break
+        least = row.level - 1
+    return counts.where(F.shiftright("n", least) > 0) if least < 64 else counts.limit(0)
 
 
 class Segmenter:

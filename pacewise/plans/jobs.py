@@ -14,14 +14,14 @@ from pacewise.operators.export import check_locations, with_location
 from pacewise.operators.histogram import histogram
 from pacewise.operators.levels import expand_levels, level_input, sentinel_rows
 from pacewise.operators.quality import quality_report
-from pacewise.operators.remap import chronological, merge_rules, merge_segments
+from pacewise.operators.remap import chronological, emptied_segments, merge_rules, merge_segments, planned_moves, touched_segments
 from pacewise.operators.split import observe_feed, only_known_pairs, pair_reuse, split_feed, split_metrics
 from pacewise.operators.summary import invalid_percentiles, level_counts, summarise
 from pacewise.schemas import SUMMARY_COLUMNS, require_columns
 from pacewise.sinks import files, tables
 from pacewise.sources.dimensions import calendar, location, read_dimension, read_mapping
 from pacewise.sources.feed import FeedFilter, read_feed
-from pacewise.sources.segments import list_segment_files, read_segment_lines, read_segment_table, unit_of
+from pacewise.sources.segments import list_segment_files, read_segment_lines, read_segment_table, split_partitions, unit_of
 
 
 def split(
@@ -86,12 +86,26 @@ def _known_pairs(spark: SparkSession, output: str) -> DataFrame:
 
 
 def merge(
-    spark: SparkSession, split_root: str, mapping_path: str, output: str, keep_source: bool = False
+    spark: SparkSession, split_root: str, mapping_path: str, output: str | None = None, keep_source: bool = False
 ) -> None:
-    """Split rows under their final segments, into a new folder."""
+    """Split rows under their final segments, into a new folder or, without ``output``, in place.
+
+    Where data of two origins meets is decided from folder names alone. In place, only folders whose content changes are read and
+    replaced, and those whose data moved away are removed. New content is complete in a folder beside the tree before the tree is
+    touched, and sources go last; a run that stops in between loses nothing and can be repeated.
+    """
     rules = merge_rules(read_mapping(spark, mapping_path))
-    merged = merge_segments(files.read_split(spark, split_root), rules, keep_source)
-    files.write_split(merged, output, reset=True, sort_by=chronological())
+    present = split_partitions(spark, split_root)
+    rows = files.read_split(spark, split_root)
+    if output is not None:
+        merged = merge_segments(rows, rules, keep_source, present)
+        files.write_split(merged, output, reset=True, sort_by=chronological())
+        return
+    moves = planned_moves(present, rules, keep_source)
+    beside = f"{split_root.rstrip('/')}_merged"
+    files.write_split(touched_segments(rows, moves), beside, reset=True, sort_by=chronological())
+    files.write_split(files.read_split(spark, beside), split_root, sort_by=chronological())
+    files.drop_folders(spark, split_root, emptied_segments(moves).select("year", "pair_id"))
 
 
 def convert(
@@ -120,7 +134,8 @@ def convert(
     verdicts = spark.read.parquet(report)
     files.write_segments(conversion.accepted_rows(lines, verdicts), output)
     news = checkpointed(conversion.unit_news(found, manifest, verdicts), f"{report.rstrip('/')}_checkpoint")
-    files.drop_units(spark, output, conversion.units_without_rows(news, manifest))
+    gone = conversion.units_without_rows(news, manifest).select("pair_id", F.col("unit").alias("source"))
+    files.drop_folders(spark, output, gone)
     news.write.mode("append").parquet(f"{output.rstrip('/')}/_manifest")
     return verdicts
 

@@ -95,6 +95,8 @@ FEATURE = T.StructType(
         ),
     ]
 )
+#: Index of the parts of a written document, in the order in which they make it up.
+DOCUMENT_PARTS = "part string, bytes long, start long, features long, first_pair_id string"
 FEATURE_COLLECTION = T.StructType(
     [
         T.StructField("type", T.StringType()),

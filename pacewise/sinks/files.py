@@ -2,11 +2,12 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pacewise import vocab
+from pacewise.functions.normalize import decoded_path
 from pacewise.operators.export import bi_rows, feature_lines
 from pacewise.schemas import GROUP_COLUMNS, SPLIT
 from pacewise.sinks.tables import lay_out
@@ -61,11 +62,23 @@ def write_segments(rows: DataFrame, root: str) -> None:
     )
 
 
-def drop_units(spark: SparkSession, root: str, units: DataFrame) -> None:
-    """Removes the folders of units; their names (what changed in a run, not data) pass through the driver."""
-    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for row in units.toLocalIterator():
-        below = "/".join(names.getPartitionPathString(c, v) for c, v in (("pair_id", row.pair_id), ("source", row.unit)))
+#: What Spark escapes in names of partition folders, besides control characters; a fixed format.
+_ESCAPED = frozenset("\"#%'*/:=?\\\x7f{[]^")
+
+
+def partition_folder(name: str, value: object) -> str:
+    """``name=value`` as Spark writes it."""
+    text = "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in str(value))
+    return f"{name}={text or '__HIVE_DEFAULT_PARTITION__'}"
+
+
+def drop_folders(spark: SparkSession, root: str, partitions: DataFrame) -> None:
+    """Removes partition folders, one for each row, nested in the order of its columns.
+
+    Their names (what changed in a run, not data) pass through the driver.
+    """
+    for row in partitions.toLocalIterator():
+        below = "/".join(partition_folder(c, row[c]) for c in partitions.columns)
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{below}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -104,9 +117,28 @@ def write_geojson(located: DataFrame, path: str, overwrite: bool = False, collec
     body = lines.select(F.lit(1).alias("part"), *GROUP_COLUMNS, F.concat(leads, "value").alias("value"))
     head = f'{{"type": "FeatureCollection", "name": "{vocab.COLLECTION_NAME}", "features": ['
     _write_document(body, [(0, head), (2, "]}")], path, mode)
+    _index_parts(body.sparkSession, path)
     return "collection"
 
 
+def _index_parts(spark: SparkSession, path: str) -> None:
+    """Writes ``_parts`` beside the parts: name, length, first byte in the whole document, number of features, first segment.
+
+    Whoever serves the document can give any byte range of it, and the reader knows that it has a feature a line.
+    """
+    name = F.substring_index(decoded_path(F.col("path")), "/", -1).alias("part")
+    sizes = spark.read.format("binaryFile").load(path).select(name, F.col("length").alias("bytes"))
+    feature = F.regexp_extract("value", r"(?s)^,?(\{.*\})$", 1)
+    row_id = F.monotonically_increasing_id()
+    lines = spark.read.text(path).select(decoded_path(F.col("_metadata.file_name")).alias("part"), feature.alias("value"), F.col("_metadata.file_block_start").alias("block"), row_id.alias("row_id"))
+    first = F.min_by(F.get_json_object("value", "$.properties.pair_id"), F.struct("block", "row_id")).alias("first_pair_id")
+    counts = lines.filter("value <> ''").groupBy("part").agg(F.count("*").alias("features"), first)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    start = F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("start")
+    index = sizes.join(counts, "part", "left").select("part", "bytes", start, F.coalesce("features", F.lit(0)).alias("features"), "first_pair_id")
+    index.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/_parts")
+
+
 def _write_document(body: DataFrame, frame: list[tuple[int, str]], path: str, mode: str) -> None:
     """Lines in key order with the lines of ``frame`` before (0) or behind (2) them, as text parts."""
     edge = body.sparkSession.createDataFrame(frame, "part int, value string")

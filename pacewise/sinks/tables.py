@@ -1,6 +1,7 @@
 """Catalog tables with a partition layout, independent of the table format."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ def write_table(
     partitions: int | None = None,
     month_of: str | None = None,
 ) -> None:
-    """Create ``table``; an existing one raises unless ``overwrite``.
+    """Create ``table``; an existing one raises unless ``overwrite``, which leaves it as it is until the new rows are written.
 
     ``month_of`` names a date column: Iceberg then partitions by its month transform, other
     formats by ``partition_by``.
@@ -58,8 +59,51 @@ def write_table(
         else:
             writer.create()
         return
-    mode = "overwrite" if overwrite else "errorifexists"
-    laid_out.write.format(fmt).mode(mode).partitionBy(*partition_by).saveAsTable(table)
+    write = partial(_save, laid_out, fmt, partition_by)
+    if overwrite:
+        _recover(spark, table)
+    if overwrite and spark.catalog.tableExists(table):
+        _publish(spark, table, write)
+    else:
+        write(table)
+
+
+def _save(rows: DataFrame, fmt: str, partition_by: Sequence[str], table: str) -> None:
+    """Creates a table whose partitions are its folders: the catalog keeps no list of them, which a renamed table would not match."""
+    conf, tracked = rows.sparkSession.conf, "spark.sql.hive.manageFilesourcePartitions"
+    before = conf.get(tracked)
+    conf.set(tracked, "false")
+    try:
+        rows.write.format(fmt).partitionBy(*partition_by).saveAsTable(table)
+    finally:
+        conf.set(tracked, before)
+
+
+def _beside(table: str, kind: str) -> str:
+    """Name of a table in the same namespace, for what is not published yet or any more."""
+    return f"{table}__{kind}"
+
+
+def _recover(spark: SparkSession, table: str) -> None:
+    """Undoes a run that stopped between the two renames of :func:`_publish`."""
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(_beside(table, "old")):
+        spark.sql(f"ALTER TABLE {_beside(table, 'old')} RENAME TO {table}")
+
+
+def _publish(spark: SparkSession, table: str, write: Callable[[str], None]) -> None:
+    """Replaces a table: written beside it, then put in its place by renaming in the catalog.
+
+    A write that fails leaves the old table as it was. One that stops between the renames leaves it as ``__old``, where the next
+    overwrite takes it back from. Names in the catalog change, no row is copied by Spark.
+    """
+    new, old = _beside(table, "new"), _beside(table, "old")
+    for name in (new, old):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    write(new)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
+    spark.sql(f"DROP TABLE {old}")
 
 
 def write_clean(clean: DataFrame, table: str, partitions: int | None = None, **options) -> None:

@@ -83,10 +83,15 @@ def read_gantries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_route_names(spark: SparkSession, path: str) -> DataFrame:
-    """``pair_id, pair_roadname`` for lookups; a missing file gives no names."""
+    """``seq, pair_id, pair_roadname`` for lookups, ``seq`` in the order of the file's rows; a missing file gives no names.
+
+    A task reads one block of a file from its start on, so file, block and an id that grows along the task give that order.
+    """
     try:
-        return read_dimension(spark, path).select("pair_id", "pair_roadname")
+        raw = read_dimension(spark, path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], "pair_id string, pair_roadname string")
+            return spark.createDataFrame([], "seq long, pair_id string, pair_roadname string")
         raise
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row_id"))
+    return raw.select(place.alias("seq"), "pair_id", "pair_roadname")

@@ -31,6 +31,14 @@ def list_segment_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def split_partitions(spark: SparkSession, root: str) -> DataFrame:
+    """``year, pair_id`` of the folders of a split tree that hold rows, from their names alone: no file is opened."""
+    below = r"/year=([0-9]+)/pair_id=(.+)/[^/]+\.csv$"
+    year, pair = (F.regexp_extract("path", below, n) for n in (1, 2))
+    found = list_files(spark, root).filter(year != "").filter(~F.col("path").rlike("/[_.][^/]*$"))
+    return found.select(year.cast("int").alias("year"), pair.alias("pair_id")).distinct()
+
+
 def line_columns(text: DataFrame) -> DataFrame:
     """Text scan with the file, the segment and the start of the block each line was read from."""
     path = decoded_path(F.col("_metadata.file_path"))

@@ -151,3 +151,17 @@ def test_date_folder_globs():
     assert date_folders(FeedFilter.of()) is None and date_folders(FeedFilter.of(start="20260101")) is None
     assert date_folders(FeedFilter.of(start="20251130", end="20260102")) == "{" + ",".join(f"{m}[0-3][0-9]" for m in (202511, 202512, 202601)) + "}"
     assert date_folders(FeedFilter.of(2026, "20251130", "20260102")) == "{202601[0-3][0-9]}"
+
+
+def test_files_that_do_not_qualify_are_not_opened(spark, tmp_path):
+    put(tmp_path / "feed/20260113/00/TDCS_M04A_a.csv", LINE.format("2026/01/13", "00:05"))
+    put(tmp_path / "feed/20260114/TDCS_M04A_b.csv", LINE.format("2026/01/14", "00:05"))
+    for below in ("20260113/00/TDCS_M05A_x.csv.gz", "20260113/00/deep/TDCS_M04A_x.csv.gz", "20251231/00/TDCS_M04A_x.csv.gz", "notes/x.gz"):
+        put(tmp_path / "feed" / below, "not a gzip file")
+    for wanted in (FeedFilter.of(2026), FeedFilter.of(start="20260101")):
+        found = read_feed(spark, str(tmp_path / "feed"), wanted)
+        assert sorted(r.datetime for r in found.collect()) == ["2026/01/13 00:05", "2026/01/14 00:05"]
+    (tmp_path / "feed/20260114/07").mkdir()
+    put(tmp_path / "feed/20260114/07/TDCS_M04A_c.csv", LINE.format("2026/01/14", "07:05"))
+    again = read_feed(spark, str(tmp_path / "feed"), FeedFilter.of(2026))
+    assert sorted(r.datetime for r in again.collect()) == ["2026/01/13 00:05", "2026/01/14 07:05"]

@@ -8,14 +8,14 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from pacewise.operators import clean, export, lookup
+from pacewise.operators import clean, export, lookup, remap
 from pacewise.plans import jobs
 from pacewise.schemas import LOCATION_COLUMNS, SUMMARY_COLUMNS
 from pacewise.sinks import files, tables
 from pacewise.sources import dimensions
-from pacewise.sources.documents import read_features
-from pacewise.sources.segments import read_segment_table
-from tests.helpers import rows
+from pacewise.sources.documents import read_features, read_parts
+from pacewise.sources.segments import read_segment_table, split_partitions
+from tests.helpers import plan, rows
 
 LOCATION_ROW = (" A_B ", "路 A", "A", "a", "1", "121.5", "25", "B", "b", "2", "121.75", "25.25", "3.5", "North")
 SUMMARY_TYPES = ("summary_level string, pair_id string, day_type string, time_period string, p50_travel_time_sec int, "
@@ -123,6 +123,59 @@ def test_geojson_lines_and_collection(spark, built):
     jobs.export_geojson(spark, "built.summary", paths["location.csv"], lines, overwrite=True)
 
 
+def test_a_collection_is_read_back_from_its_own_parts(spark, tmp_path):
+    pairs = [f"P{i:03}" for i in range(40)]
+    located = export.with_location(summary_rows(spark, *pairs).repartition(5), dimensions.location(location_rows(spark, *({"pair_id": p} for p in pairs))))
+    for name, gathered in (("one", "true"), ("many", "false")):
+        path = tmp_path / name
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", gathered)
+        try:
+            files.write_geojson(located, str(path), collection=True)
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        found = read_features(spark, str(path), collection=True)
+        assert sorted(r.properties.pair_id for r in found.collect()) == pairs
+        assert found.first().geometry.coordinates == [[121.5, 25.0], [121.75, 25.25]]
+        whole = joined(path).encode()
+        index = read_parts(spark, str(path)).orderBy("start").collect()
+        assert sum(r.features for r in index) == 40 and (len(index) > 1) == (name == "many")
+        for r in index:
+            assert whole[r.start : r.start + r.bytes] == (path / r.part).read_bytes()
+            assert r.first_pair_id is None or f'"pair_id":"{r.first_pair_id}"'.encode() in (path / r.part).read_bytes().split(b"Feature")[-r.features]
+    (tmp_path / "foreign").write_text(json.dumps(json.loads(joined(tmp_path / "many")), indent=2), encoding="utf-8")
+    assert read_features(spark, str(tmp_path / "foreign"), collection=True).count() == 40
+
+
+def test_the_last_route_name_of_a_file_counts(spark, tmp_path):
+    columns = ",".join(LOCATION_COLUMNS)
+    listed = [("A_B", "Zeta"), ("C_D", "Only"), *((f"X{i}", "filler" * 20) for i in range(3000)), ("A_B", "Alpha")]
+    lines = [",".join([pair, name, *[""] * (len(LOCATION_COLUMNS) - 2)]) for pair, name in listed]
+    (tmp_path / "location.csv").write_text(columns + "\n" + "\n".join(lines) + "\n", encoding="utf-8-sig")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        names = dimensions.read_route_names(spark, str(tmp_path / "location.csv"))
+        assert names.rdd.getNumPartitions() > 3
+        got = {r.pair_id: r.route_name for r in lookup.with_route_name(summary_rows(spark, "A_B", "C_D", "E_F"), names).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {"A_B": "Alpha", "C_D": "Only", "E_F": "E_F"}
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark):
+    good = spark.range(10).select(F.col("id").alias("n"), (F.col("id") % 2).alias("k"))
+    bad = good.withColumn("n", F.when(F.col("n") < 9, F.col("n")).otherwise(F.raise_error(F.lit("half-way")).cast("long")))
+    tables.write_table(good, "built.staged", ["k"], ["n"], overwrite=True)
+    with pytest.raises(Exception, match="half-way"):
+        tables.write_table(bad, "built.staged", ["k"], ["n"], overwrite=True)
+    assert spark.table("built.staged").count() == 10
+    tables.write_table(good.filter("n > 3"), "built.staged", ["k"], ["n"], overwrite=True)
+    assert spark.table("built.staged").count() == 6
+    spark.sql("ALTER TABLE built.staged RENAME TO built.staged__old")  # a run that stopped between the renames
+    tables.write_table(good.filter("n > 4"), "built.staged", ["k"], ["n"], overwrite=True)
+    assert rows(spark.table("built.staged").select("n")) == {(n,): 1 for n in range(5, 10)}
+    assert not spark.catalog.tableExists("built.staged__old") and not spark.catalog.tableExists("built.staged__new")
+
+
 def test_lookup_on_written_features(spark, built):
     base, paths, _, _ = built
     path = str(base / "served")
@@ -296,6 +349,42 @@ def test_repeated_merge_and_convert(spark, built):
     assert rows(spark.read.parquet(paths["segments"]).drop("source")) == before
 
 
+def _split_tree(spark, root):
+    """Renamed segments in two years, and folders that no rule names, whose files cannot be read."""
+    line = "{},00:05,31,{},1\n"
+    for year, pair, text in [(2025, "A", line.format("2025/1/2", 60) * 2), (2025, "B", line.format("2025/1/2", 60) + line.format("2025/1/1", 5)),
+                             (2026, "A", line.format("2026/1/1", 7) * 2), (2026, "D:x", line.format("2026/1/1", 8))]:
+        folder = root / f"year={year}" / f"pair_id={pair.replace(':', '%3A')}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.csv").write_text(text)
+    for year, pair in [(2024, "Z"), (2026, "C"), (2026, "Z")]:
+        folder = root / f"year={year}" / f"pair_id={pair}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.csv.gz").write_bytes(b"not a gzip file")
+
+
+def test_merge_in_place_opens_no_untouched_partition(spark, tmp_path):
+    _split_tree(spark, tmp_path / "split")
+    (tmp_path / "mapping.csv").write_text("route,note,target_route\nA,合併,B\nD:x,合併,E\n", encoding="utf-8-sig")
+    for _ in range(2):  # the second run finds nothing to move
+        jobs.merge(spark, str(tmp_path / "split"), str(tmp_path / "mapping.csv"))
+        left = {str(p.relative_to(tmp_path / "split")) for p in (tmp_path / "split").glob("year=*/pair_id=*")}
+        assert left == {f"year={y}/pair_id={p}" for y, p in [(2024, "Z"), (2025, "B"), (2026, "B"), (2026, "C"), (2026, "E"), (2026, "Z")]}
+        good = files.read_split(spark, str(tmp_path / "split")).filter("pair_id in ('B', 'E')")
+        assert rows(good.select("year", "pair_id", "date", "travel_time_sec")) == {
+            (2025, "B", "2025/1/1", "5"): 1, (2025, "B", "2025/1/2", "60"): 1, (2026, "B", "2026/1/1", "7"): 2, (2026, "E", "2026/1/1", "8"): 1}
+        (part,) = (tmp_path / "split/year=2025/pair_id=B").glob("*.csv")
+        assert [r.split(",")[0] for r in part.read_text().splitlines()] == ["2025/1/1", "2025/1/2"]
+
+
+def test_merge_scans_twice_at_most(spark, tmp_path):
+    _split_tree(spark, tmp_path / "split")
+    mapping = spark.createDataFrame([(0, "A", "合併", "B")], "seq int, route string, note string, target_route string")
+    moves = remap.planned_moves(split_partitions(spark, str(tmp_path / "split")), remap.merge_rules(mapping))
+    text = plan(remap.touched_segments(files.read_split(spark, str(tmp_path / "split")), moves))
+    assert text.count("FileScan csv") <= 2 and "dynamicpruning" in text.lower()
+
+
 def test_part_files_are_sorted(spark, built):
     """The sort keys of the three tables, read back part by part."""
     keys = {

@@ -7,7 +7,7 @@ import pytest
 
 from pacewise.operators import remap
 from pacewise.sinks.files import write_split
-from tests.helpers import rows
+from tests.helpers import plan, rows
 
 MAPPING = "seq int, route string, note string, target_route string"
 SPLIT = "year int, pair_id string, date string, time string, vehicle_type string, travel_time_sec string, volume string"
@@ -98,3 +98,30 @@ def test_merged_files_are_chronological(spark, tmp_path):
 def test_mapping_columns_are_required(spark):
     with pytest.raises(ValueError, match="target_route"):
         remap.merge_rules(spark.sql("SELECT 1 AS seq, 'A' AS route, '' AS note"))
+
+
+def test_a_hundred_thousand_rules(spark):
+    """Chains of 1 to 1,000 rules, in seq order and shuffled, against a walk along each chain."""
+    rng = random.Random(5)
+    rules, chain = [], 0
+    while len(rules) < 100_000:
+        length = rng.randint(1, 1000)
+        numbers = sorted(rng.sample(range(10**9), length)) if chain % 2 else rng.sample(range(10**9), length)
+        rules += [(n, f"c{chain}_{i}", f"c{chain}_{i + 1}") for i, n in enumerate(numbers)]
+        chain += 1
+    frame = spark.createDataFrame(rules, "seq long, route string, target_route string")
+    leaves = {a: (n, b) for n, a, b in rules}
+    found = {r.origin: r.target_pair_id for r in remap.resolve_rules(frame).collect()}
+    assert len(found) == len(leaves) + chain
+    for origin in rng.sample(sorted(found), 3000):
+        place, at = origin, -1
+        while place in leaves and leaves[place][0] > at:
+            at, place = leaves[place]
+        assert found[origin] == place
+
+
+def test_every_task_sees_few_rules(spark):
+    """No aggregate gathers the rules in one row."""
+    mapping = spark.createDataFrame([(i, f"r{i}", "合併", f"r{i + 1}") for i in range(5)], MAPPING)
+    text = plan(remap.resolve_rules(remap.merge_rules(mapping)))
+    assert "collect_list" not in text and "SinglePartition" not in text

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -46,6 +47,25 @@ def slices(batch: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
+def give_back() -> None:
+    """Returns memory that this worker has freed to the system; a worker goes on to later stages, beside others and the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, once in a worker; a worker keeps one such thing, so those of earlier stages go."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def by_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch], text_at: int = 1) -> Callable[[Iterator], Iterator]:
     """A function for mapInArrow that turns each slice of a batch into one batch."""
 
@@ -53,6 +73,7 @@ def by_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch], text_at: int
         for batch in batches:
             for some in slices(batch, text_at):
                 yield function(some)
+            give_back()
 
     return run
 

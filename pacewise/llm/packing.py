@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacewise.llm.common import by_batch, hashes, mix, slices, written
+from pacewise.llm.common import by_batch, give_back, hashes, kept, mix, slices, written
 
 #: Ids of a sequence.
 LENGTH = 4096
@@ -30,7 +30,6 @@ CACHE_WORDS, KEPT_BYTES = 3_000_000, 64
 #: Anything but white space and the characters that the tokenizer's normal form leaves as they are, but for lower case.
 _ODD = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]")
 _SPACE, _LETTER, _DIGIT, _SIGN = range(4)
-_workers: dict[str, _Encoder] = {}
 
 
 def _classes() -> np.ndarray:
@@ -184,11 +183,10 @@ def keyed(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """doc_id, curve key, hash of the ids, and the ids (16 bits each: the vocabulary has fewer than 65,536)."""
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if tokenizer not in _workers:
-            _workers[tokenizer] = _Encoder(tokenizer)
+        encoder = kept(f"packing {tokenizer}", lambda: _Encoder(tokenizer))
         texts = [t or "" for t in batch.column(1).to_pylist()]
         end = _narrow([end_id])
-        ids = [np.concatenate((i, end)) for i in _workers[tokenizer].ids(texts)]
+        ids = [np.concatenate((i, end)) for i in encoder.ids(texts)]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(curve_keys(ids)), pa.array([i.astype("<u2").tobytes() for i in ids], pa.binary())], names=["doc_id", "key", "ids"])
 
@@ -225,6 +223,7 @@ def packed(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
                         sequence, offset = sequence + 1, 0
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(pieces, kinds, strict=True)], names=_PIECES)
+            give_back()
 
     return dealt.select("doc_id", "ids", "part").mapInArrow(pour, "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long")
 

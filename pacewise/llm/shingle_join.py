@@ -11,9 +11,10 @@
    boundary is the size with the least cost by the counted numbers of subsets and list entries. Sets near it do both.
 4. Each list first links its members with two leaders of like size, checked exactly. Members of one component need no more
    checks. Then only shingles that
-   several components have count: a document with too few of them has no link outside its component and leaves, and the others
-   are joined as in 3 by these shingles alone, between different components. So a large group of near copies costs as many
-   checks as it has members, and no link between components is lost.
+   several components have count: a document with too few of them has no link outside its component and leaves. The lists of 3
+   over these shingles alone say which documents may link into which other components, and each such document meets a
+   component's sets tile by tile, as a matrix in a task. So a large group of near copies costs as many checks as it has members, a
+   document outside costs a row for each tile of it, and no link between components is lost.
 5. *Counts of links* (``link_counts``): all links lie inside components, whose classes are compared block by block, each class
    weighted by its copies. A task returns a number for each class, not pairs.
 
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pacewise.llm.common import NOT_SPACE, Words, counted, distinct, mix, slices, written
+from pacewise.llm.common import NOT_SPACE, Words, counted, distinct, give_back, mix, slices, written
 from pacewise.llm.components import components
 
 #: Words of a shingle, and similarity in percent from which documents link.
@@ -110,6 +111,7 @@ def _dealer(width: int, bits: int):
                  pa.array([_packed(np.bincount(owner[a:b], minlength=docs)) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
                  pa.array([low[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()), pa.array([table] + [None] * (n - 1), pa.binary())],
                 names=["bucket", "chunk", "docs", "counts", "tokens", "ids"])
+            give_back()
 
     return deal
 
@@ -119,6 +121,7 @@ _KEPT = "bucket int, chunk string, docs int, counts binary, tokens binary, class
 
 def _repeated(group):
     """A bucket's shingles that occur in several documents, back by slice, with a class of their count."""
+    give_back()
     tokens = [np.frombuffer(t, "<u4") for t in group.column("tokens").to_pylist()]
     values, often = counted(np.concatenate(tokens))
     values, often = values[often > 1], often[often > 1]
@@ -140,6 +143,7 @@ _SETS = "doc_id long, n_shingles long, size long, unique long, first_sum long, s
 def _assembler(bits: int, percent: int):
     def assemble(group):
         """A slice's documents: those that may have partners with their repeated shingles, rarest first."""
+        give_back()
         group = group.sort_by("bucket")
         if group.num_rows != 1 << bits:
             raise RuntimeError("a slice of documents was read in different ways; its input must keep its order when read again")
@@ -257,15 +261,15 @@ def _foreign(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
                                 F.transform("ordered", lambda t: t["token"]).alias("tokens")), "foreign")
 
 
-def _across(listed: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs between the components of each list that size and place allow."""
+def _routes(listed: DataFrame, percent: int) -> DataFrame:
+    """``a, component``: sets, and the other components that hold sets which their lists, sizes and places allow as partners.
+
+    Of two components that meet in a list, the sets of the smaller one are routed to the other.
+    """
 
     def fits(n_a: Column, n_b: Column, left_a: Column, left_b: Column) -> Column:
         return (100 + percent) * F.least(left_a, left_b) >= percent * (n_a + n_b)
 
-    def like(n_a: Column, n_b: Column) -> Column:
-        return (100 * n_a >= percent * n_b) & (100 * n_b >= percent * n_a)
-
     left = F.col("n") - F.col("place")
     each = listed.groupBy("light", "key", "component").agg(
         F.count("*").alias("members"), F.min("n").alias("small"), F.max("n").alias("large"), F.max(left).alias("most_left"))
@@ -274,14 +278,66 @@ def _across(listed: DataFrame, percent: int) -> DataFrame:
     may = may & fits(F.col("small"), F.col("small_b"), F.col("most_left"), F.col("most_left_b"))
     smaller = F.struct("members", "component") < F.struct(F.col("members_b").alias("members"), F.col("component_b").alias("component"))
     meeting = each.join(other, ["light", "key"]).where(smaller & may).select("light", "key", "component", "component_b", "small_b", "large_b", "most_left_b")
-    # the documents of the smaller side first, and only those that the bounds of the other side allow
+    # only those documents of the smaller side that the bounds of the other side allow
     one = listed.select("light", "key", "component", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), left.alias("left_a"))
     near = (100 * F.col("n_a") >= percent * F.col("small_b")) & (100 * F.col("large_b") >= percent * F.col("n_a"))
     chosen = meeting.join(one, ["light", "key", "component"]).where(near & fits(F.col("n_a"), F.col("small_b"), F.col("left_a"), F.col("most_left_b")))
-    two = listed.select("light", "key", F.col("component").alias("component_b"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"), left.alias("left_b"))
-    pairs = chosen.join(two, ["light", "key", "component_b"])
-    pairs = pairs.where(like(F.col("n_a"), F.col("n_b")) & fits(F.col("n_a"), F.col("n_b"), F.col("left_a"), F.col("left_b")))
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return chosen.select("a", F.col("component_b").alias("component")).distinct()
+
+
+def _outside_linker(percent: int):
+    def link(group):
+        """One link of each routed set (``second``) with each component of the group that holds a similar one."""
+        give_back()
+        component, second = group.column("component").to_numpy(), group.column("second").to_numpy(zero_copy_only=False)
+        lists = group.column("tokens").combine_chunks()
+        offsets, tokens = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+        n, name = group.column("n").to_numpy(), group.column("doc_id").to_numpy()
+        order = np.lexsort((second, component))
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def side(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return np.repeat(np.arange(len(rows)), offsets[rows + 1] - offsets[rows]), np.concatenate([tokens[offsets[r] : offsets[r + 1]] for r in rows])
+
+        for rows in np.split(order, np.flatnonzero(np.diff(component[order])) + 1):
+            held, coming = rows[~second[rows]], rows[second[rows]]
+            if not len(held) or not len(coming):
+                continue
+            common = _overlaps(side(held), side(coming), len(held), len(coming))
+            like = 100 * common >= percent * (n[held][:, None] + n[coming][None, :] - common)
+            linked = np.flatnonzero(like.any(axis=0))
+            found.append((name[coming[linked]], name[held[like[:, linked].argmax(axis=0)]]))
+        one, two = (np.concatenate([f[i] for f in found]) if found else np.empty(0, dtype=np.int64) for i in (0, 1))
+        return pa.table([pa.array(np.maximum(one, two)), pa.array(np.minimum(one, two))], names=["a", "b"])
+
+    return link
+
+
+def _across(routes: DataFrame, foreign: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join routed sets with the components they are routed to: one of each set with each component, if it has any.
+
+    A component's sets are dealt to tiles, those routed to it to chunks, and each tile meets each chunk in a task, as a matrix: a
+    routed set costs a row for each tile, not for each set of the component. Small components share tasks.
+    """
+    units = F.greatest(F.size("tokens"), F.lit(LEAST)).cast("long").alias("units")
+    sets = foreign.select("doc_id", "component", "n", "tokens", units)
+    coming = written(routes.join(sets.drop("component"), routes.a == sets.doc_id).drop("a"), "coming")
+    held = written(sets.join(routes.select("component").distinct(), "component", "left_semi"), "held")
+    loads = held.groupBy("component").agg(F.sum("units").alias("held")).join(coming.groupBy("component").agg(F.sum("units").alias("coming")), "component")
+    loads = written(loads.select("component", (F.col("held") + F.col("coming")).alias("whole"), *(F.ceil(F.col(c) / TILE).cast("int").alias(t) for c, t in (("held", "tiles"), ("coming", "chunks")))), "loads")
+    alone = (F.col("tiles") > 1) | (F.col("chunks") > 1)
+    total = loads.where(~alone).agg(F.sum("whole")).first()[0] or 0
+    bucket = F.concat(F.lit("b"), F.pmod(F.xxhash64("component"), F.lit(1 + 2 * total // TILE)))
+    pair = F.when(alone, F.concat_ws("-", "component", "tile", "chunk")).otherwise(bucket).alias("pair")
+
+    def dealt(rows: DataFrame, second: bool, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
+        place = F.pmod(F.xxhash64("doc_id"), F.col(own_count)).cast("int").alias(own)
+        copies = F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)).alias(other)
+        spread = rows.join(loads, "component").select("doc_id", "component", "n", "tokens", "tiles", "chunks", place, copies)
+        return spread.select(pair, "component", F.lit(second).alias("second"), "doc_id", "n", "tokens")
+
+    both = dealt(held, False, "tile", "tiles", "chunk", "chunks").union(dealt(coming, True, "chunk", "chunks", "tile", "tiles"))
+    return both.groupBy("pair").applyInArrow(_outside_linker(percent), "a long, b long")
 
 
 #: What tells a class of copies from others: all of its shingles occur elsewhere, so that equal checksums mean equal sets.
@@ -310,7 +366,7 @@ def similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tu
     links = written(verified(led, several, percent), "links").select("a", "b")
     foreign = _foreign(several, _groups(links), percent)
     outside = keys(foreign, boundary(foreign, percent), percent).join(foreign.select("doc_id", "component"), "doc_id")
-    across = verified(_across(written(outside, "outside"), percent), several, percent).select("a", "b")
+    across = written(_across(written(_routes(written(outside, "outside"), percent), "routes"), foreign, percent), "across")
     return sets, written(links.union(across).union(edges[0]), "links"), reps
 
 

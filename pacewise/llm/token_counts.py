@@ -17,7 +17,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pacewise.llm.common import by_batch
+from pacewise.llm.common import by_batch, kept
 
 #: Most pieces that a worker keeps.
 CACHE_PIECES = 1_000_000
@@ -26,7 +26,6 @@ KEPT_CHARS = 64
 _PIECE = re.compile(r"\s*\S+|\s+")
 _OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _DOUBLE = ("  ", "\n\n", " \n", "\n ")
-_workers: dict[str, _Counter] = {}
 
 
 class _Counter:
@@ -98,10 +97,9 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(frequent_lengths(tokenizer))
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if tokenizer not in _workers:
-            _workers[tokenizer] = _Counter(tokenizer, shared.value)
+        counter = kept(f"token counts {tokenizer}", lambda: _Counter(tokenizer, shared.value))
         texts = [t or "" for t in batch.column(1).to_pylist()]
-        tokens = _workers[tokenizer].counts(texts)
+        tokens = counter.counts(texts)
         sizes = [len(t.encode()) for t in texts]
         return pa.RecordBatch.from_arrays(
             [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64()), pa.array([n > limit for n in tokens], pa.bool_())],

@@ -29,25 +29,21 @@ def tag_feed(raw: DataFrame, wanted: FeedFilter = FeedFilter(), nulls: Sequence[
 
 
 def observe_feed(raw: DataFrame, observation: Observation, wanted: FeedFilter = FeedFilter()) -> DataFrame:
-    """Feed rows unchanged; whatever action runs them also counts what will be dropped and why."""
+    """Tagged feed rows (see ``tag_feed``); whatever action runs them also counts what will be dropped and why."""
     parsed, in_range, pair = F.col("parsed"), F.col("in_range"), F.col("pair_id")
-    return (
-        tag_feed(raw, wanted)
-        .observe(
-            observation,
-            F.count("*").alias("rows_read"),
-            F.count_if(~parsed).alias("rows_unparsed"),
-            F.count_if(parsed & ~in_range).alias("rows_out_of_range"),
-            F.count_if(in_range & pair.isNull()).alias("rows_without_pair"),
-        )
-        .select(*raw.columns)
+    return tag_feed(raw, wanted).observe(
+        observation,
+        F.count("*").alias("rows_read"),
+        F.count_if(~parsed).alias("rows_unparsed"),
+        F.count_if(parsed & ~in_range).alias("rows_out_of_range"),
+        F.count_if(in_range & pair.isNull()).alias("rows_without_pair"),
     )
 
 
-def split_feed(raw: DataFrame, wanted: FeedFilter = FeedFilter()) -> DataFrame:
-    """``year, pair_id`` and the five split columns of the rows that parse, pass and have both ends."""
+def split_tagged(tagged: DataFrame) -> DataFrame:
+    """``year, pair_id`` and the five split columns of the tagged rows that are kept."""
     ts = F.col("ts")
-    return tag_feed(raw, wanted).filter("kept").select(
+    return tagged.filter("kept").select(
         F.year(ts).alias("year"),
         "pair_id",
         feed_date_text(ts).alias("date"),
@@ -56,6 +52,11 @@ def split_feed(raw: DataFrame, wanted: FeedFilter = FeedFilter()) -> DataFrame:
     )
 
 
+def split_feed(raw: DataFrame, wanted: FeedFilter = FeedFilter()) -> DataFrame:
+    """``year, pair_id`` and the five split columns of the rows that parse, pass and have both ends."""
+    return split_tagged(tag_feed(raw, wanted))
+
+
 def only_known_pairs(rows: DataFrame, known: DataFrame) -> DataFrame:
     """Rows of segments that already exist."""
     return rows.join(known.select("pair_id").distinct(), "pair_id", "left_semi")

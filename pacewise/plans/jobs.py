@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 
 from pacewise import vocab
 from pacewise.operators import conversion
-from pacewise.operators.bounded import checkpointed
+from pacewise.operators.bounded import checkpointed, stored
 from pacewise.operators.clean import build_clean, typed
 from pacewise.operators.export import check_locations, with_location
-from pacewise.operators.histogram import histogram
+from pacewise.operators.histogram import histogram, summed_cells
 from pacewise.operators.levels import expand_levels, level_input, sentinel_rows
 from pacewise.operators.quality import quality_report
 from pacewise.operators.remap import chronological, emptied_segments, merge_rules, merge_segments, planned_moves, touched_segments
-from pacewise.operators.split import observe_feed, only_known_pairs, pair_reuse, split_feed, split_metrics
+from pacewise.operators.split import observe_feed, only_known_pairs, pair_reuse, split_feed, split_metrics, split_tagged
 from pacewise.operators.summary import invalid_percentiles, level_counts, summarise
 from pacewise.schemas import SUMMARY_COLUMNS, require_columns
 from pacewise.sinks import files, tables
@@ -47,7 +47,7 @@ def split(
     more = _split_counters(spark, raw, wanted, output, reset, only_existing_pairs) if all_counters else {}
     read, written = Observation("read"), Observation("written")
     observed = observe_feed(raw, read, wanted)
-    rows = split_feed(observed, wanted)
+    rows = split_tagged(observed)
     if only_existing_pairs:
         known = None if reset else _known_pairs(spark, output)
         if known is None or known.isEmpty():
@@ -185,6 +185,34 @@ def build_histogram(
     )
 
 
+def refresh_histogram(
+    spark: SparkSession,
+    clean_table: str,
+    cells: str,
+    table: str,
+    months: Sequence[str] | None = None,
+    excluded_dates: Sequence[str] | None = None,
+    fmt: str = "parquet",
+) -> None:
+    """The histogram table after the given months (``YYYY-MM``) of the clean table were added, replaced or removed.
+
+    ``cells`` is a folder that keeps the histogram cells of each month. Only the given months of the clean table are read (all
+    without ``months``, as the first time); their cells are replaced, and the table is summed from the cells of all months,
+    whose number is bounded by months, segments and travel times. A run that stops on the way can be repeated.
+    """
+    rows = spark.table(clean_table)
+    if months is not None:
+        rows = rows.filter(F.col("record_month").isin(*months))
+    fresh = stored(histogram(rows, excluded_dates, by=["record_month"]), "month-cells")
+    left = fresh.select("record_month").distinct()
+    known = files.read_month_cells(spark, cells).select("record_month").distinct()
+    gone = known if months is None else known.filter(F.col("record_month").isin(*months))
+    gone = stored(gone.join(left, "record_month", "left_anti"), "months-gone")
+    files.write_month_cells(fresh, cells)
+    files.drop_folders(spark, cells, gone)
+    tables.write_histogram(summed_cells(files.read_month_cells(spark, cells)), table, overwrite=True, fmt=fmt)
+
+
 def build_summary(
     spark: SparkSession,
     histogram_table: str,

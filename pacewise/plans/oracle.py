@@ -191,6 +191,34 @@ FROM s GROUP BY summary_level
 UNION ALL SELECT * FROM (VALUES {values})"""
 
 
+def _dirty_quality() -> str:
+    blank = {"pair_id": "event_id % 101 = 0 OR event_id % 103 = 0", "record_date": "event_id % 107 = 0", "vehicle_type": "event_id % 109 = 0",
+             "travel_time_sec": "event_id % 113 = 0", "volume": "event_id % 127 = 0"}
+    blanks = " UNION ALL ".join(f"SELECT 'null_or_blank' AS \"check\", '{c}' AS scope, count(*) AS bad_rows FROM e WHERE {test}" for c, test in blank.items())
+    cells = {"L1_DAY_TYPE": 2, "L2_TIME_PERIOD": 5, "L3_DAY_TYPE_TIME_PERIOD": 10, "L4_OVERALL": 1}
+    kept = {level: "pair_id NOT LIKE 'purchase%'" if level == "L4_OVERALL" else "true" for level in cells}
+    short = " UNION ALL ".join(
+        f"SELECT 'level_shortfall', '{level}', {n} * (SELECT count(DISTINCT pair_id) FROM c) - (SELECT count(*) FROM s WHERE summary_level = '{level}' AND {kept[level]})"
+        for level, n in cells.items())
+    total = {"L1_DAY_TYPE": "2 * sum(volume)", "L2_TIME_PERIOD": "sum(volume) FILTER (pair_id NOT LIKE 'click%')", "L3_DAY_TYPE_TIME_PERIOD": "sum(volume)",
+             "L4_OVERALL": "sum(volume + 1)"}
+    off = " UNION ALL ".join(
+        f"SELECT 'rollup_difference', '{level}', CAST(abs((SELECT {amount} FROM v WHERE summary_level = '{level}') - (SELECT sum(volume) FROM v WHERE summary_level = 'L3_DAY_TYPE_TIME_PERIOD')) AS BIGINT)"
+        for level, amount in total.items())
+    used = "s.pair_id NOT LIKE 'purchase%' OR s.summary_level <> 'L4_OVERALL'"
+    return f"""WITH {_with_levels(_EVENT_SUMMARY)}, {_NOISY},
+d AS (SELECT count(*) - 1 AS extra FROM c GROUP BY pair_id, record_date, record_time_minute, vehicle_type)
+{blanks}
+UNION ALL SELECT 'uncovered_dates', 'rows', count(*) FROM e WHERE event_id % 107 <> 0 AND CAST(ts AS DATE) NOT IN (SELECT cal_date FROM n)
+UNION ALL SELECT 'calendar_conflicts', 'dates', count(*) FROM (SELECT cal_date FROM n GROUP BY cal_date HAVING count(DISTINCT t) > 1)
+UNION ALL SELECT 'duplicate_observations', 'rows', CAST(sum(extra) AS BIGINT) FROM d
+UNION ALL SELECT 'location_duplicates', 'pairs', count(DISTINCT pair_id) FROM e WHERE event_type = 'click'
+UNION ALL SELECT 'missing_locations', 'pairs', count(DISTINCT pair_id) FROM s WHERE pair_id LIKE 'error%' AND ({used})
+UNION ALL SELECT 'null_coordinates', 'rows', count(*) FROM s WHERE pair_id LIKE 'view%' AND ({used})
+UNION ALL SELECT 'p95_below_p50', 'rows', count(*) FROM s WHERE pair_id LIKE 'signup%' AND ({used})
+UNION ALL {short} UNION ALL {off}"""
+
+
 def statements() -> dict[str, str]:
     lane_pairs = f"WITH {_LANES}, {_KNOWN}"
     known_lane = "(s, d) IN (SELECT (s, d) FROM k)"
@@ -268,6 +296,9 @@ def statements() -> dict[str, str]:
         "clean_filter": f"WITH {_CLEAN} SELECT * EXCLUDE (day_type) FROM c",
         "exclude_ids": f"""WITH {_CLEAN} SELECT pair_id, count(*) AS n_rows, CAST(sum(volume) AS BIGINT) AS volume
           FROM c WHERE pair_id NOT IN ('click_3', 'error_0', 'view_7') GROUP BY pair_id""",
+        "quality_report_dirty": _dirty_quality(),
+        "lookup_route_name_repeated": f"""WITH {_EVENTS} SELECT pair_id, count(*) AS n_rows,
+            coalesce('Road ' || (max(event_id) FILTER (user_id % 2 = 0) * 7 % 10), pair_id) AS route_name FROM e GROUP BY pair_id""",
         "exclude_ids_by_table": f"""{lane_pairs} SELECT pair_id, count(*) AS n_rows,
             CAST(sum(volume) AS BIGINT) AS volume FROM c WHERE NOT {known_lane} GROUP BY pair_id""",
         "calendar_dim": f"WITH {_NOISY} SELECT cal_date, min(t) AS day_type FROM n GROUP BY cal_date",

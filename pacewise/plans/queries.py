@@ -9,6 +9,7 @@ from pacewise import vocab
 from pacewise.functions import display
 from pacewise.functions.normalize import clock_digits, clock_text, hour_band, hour_of, minute_of, parse_date
 from pacewise.operators import clean, conversion, export, levels, lookup, quality, remap, split, summary, weighted
+from pacewise.operators.bounded import stored
 from pacewise.operators.histogram import histogram
 from pacewise.plans import adapters
 from pacewise.schemas import FEATURE, GROUP_COLUMNS
@@ -579,6 +580,16 @@ def lookup_route_name(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.with_route_name(pairs, lane_locations(spark, folder))
 
 
+@_query
+def lookup_route_name_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments whose name was written again with each event of an even user: the latest one counts."""
+    events = adapters.table(spark, folder, "events").select("event_id", "user_id", adapters.event_pair().alias("pair_id"))
+    name = F.concat(F.lit("Road "), (F.col("event_id") * 7 % 10).cast("string"))
+    names = events.filter("user_id % 2 = 0").select(F.col("event_id").alias("seq"), "pair_id", name.alias("pair_roadname"))
+    pairs = events.groupBy("pair_id").agg(F.count("*").alias("n_rows"))
+    return lookup.with_route_name(pairs, names)
+
+
 @_query
 def duration_text(spark: SparkSession, folder: str) -> DataFrame:
     rows = lane_result(spark, folder)
@@ -596,17 +607,54 @@ def grade_colour(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(*GROUP_COLUMNS, display.grade_colour(F.col("reliability_level")).alias("colour"))
 
 
+def _quality_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Clean events, their rows by level and their summary; the histogram behind both is built once, as a table."""
+    observed = event_clean(spark, folder)
+    condensed = stored(histogram(observed), "quality-histogram")
+    by_level = levels.expand_levels(levels.level_input(condensed).repartition("pair_id"))
+    return observed, by_level, stored(summary.summarise(condensed), "quality-summary")
+
+
 @_query
 def quality_report(spark: SparkSession, folder: str) -> DataFrame:
     """Checks over the events; the noisy calendar misses and contradicts some days."""
-    rows = clean.typed(adapters.event_segments(spark, folder))
-    observed = event_clean(spark, folder)
-    by_level = levels.expand_levels(levels.level_input(histogram(observed)).repartition("pair_id"))
+    observed, by_level, result = _quality_inputs(spark, folder)
     return quality.quality_report(
-        rows,
+        clean.typed(adapters.event_segments(spark, folder)),
         adapters.event_calendar_noisy(spark, folder),
         observed,
         by_level,
-        event_summary(spark, folder),
+        result,
         event_locations(spark, folder),
     )
+
+
+@_query
+def quality_report_dirty(spark: SparkSession, folder: str) -> DataFrame:
+    """The same checks over damaged data, so that each finds something.
+
+    Cells of some events are lost or unreadable; purchases lack a level and errors a location, signups have a wrong percentile,
+    views no coordinate, clicks two locations; volumes of three levels are wrong.
+    """
+    n = F.col("event_id")
+    damaged = adapters.event_segments(spark, folder).withColumns(
+        {
+            "pair_id": F.when(n % 101 == 0, " ").when(n % 103 != 0, F.col("pair_id")),
+            "RecordDate": F.when(n % 107 == 0, "someday").otherwise(F.col("RecordDate")),
+            "VehicleType": F.when(n % 109 != 0, F.col("VehicleType")),
+            "TravelTime": F.when(n % 113 == 0, "many").otherwise(F.col("TravelTime").cast("string")),
+            "Volume": F.when(n % 127 != 0, F.col("Volume")),
+        }
+    )
+    observed, by_level, result = _quality_inputs(spark, folder)
+    kind, level = F.substring_index("pair_id", "_", 1), F.col("summary_level")
+    doubled = F.when(level == "L1_DAY_TYPE", F.col("volume") * 2).when(level == "L4_OVERALL", F.col("volume") + 1).otherwise(F.col("volume"))
+    wrong_levels = by_level.withColumn("volume", doubled).filter(~((level == "L2_TIME_PERIOD") & (kind == "click")))
+    p95 = F.when(kind == "signup", F.lit(0)).otherwise(F.col("p95_travel_time_sec"))
+    wrong_summary = result.withColumn("p95_travel_time_sec", p95).filter(~((level == "L4_OVERALL") & (kind == "purchase")))
+    located = event_locations(spark, folder).filter(kind != "error")
+    located = located.withColumn("start_longitude", F.when(kind != "view", F.col("start_longitude")))
+    wrong_locations = located.unionByName(located.filter(kind == "click"))
+    return quality.quality_report(
+        clean.typed(damaged), adapters.event_calendar_noisy(spark, folder), observed, wrong_levels, wrong_summary, wrong_locations
+    )

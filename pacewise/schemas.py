@@ -56,6 +56,10 @@ HISTOGRAM_INPUT = ("pair_id", "record_date", "day_type", "time_period", "travel_
 HISTOGRAM_COLUMNS = (
     "pair_id", "day_type", "time_period", "vehicle_type_group", "travel_time_sec", "total_volume",
 )
+#: Histogram cells of single months.
+MONTH_CELLS = (
+    "pair_id string, day_type string, time_period string, vehicle_type_group string, travel_time_sec int, total_volume long, record_month string"
+)
 GROUP_COLUMNS = ("summary_level", "pair_id", "day_type", "time_period")
 LEVEL_COLUMNS = GROUP_COLUMNS + ("travel_time_sec", "volume")
 SUMMARY_COLUMNS = GROUP_COLUMNS + (

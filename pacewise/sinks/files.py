@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 from pacewise import vocab
 from pacewise.functions.normalize import decoded_path
 from pacewise.operators.export import bi_rows, feature_lines
-from pacewise.schemas import GROUP_COLUMNS, SPLIT
+from pacewise.schemas import GROUP_COLUMNS, MONTH_CELLS, SPLIT
 from pacewise.sinks.tables import lay_out
 from pacewise.sources.segments import unit_of
 
@@ -62,6 +63,22 @@ def write_segments(rows: DataFrame, root: str) -> None:
     )
 
 
+def write_month_cells(cells: DataFrame, root: str) -> None:
+    """Histogram cells as Parquet under ``record_month=``; the months that ``cells`` has replace theirs, others stay."""
+    laid_out = lay_out(cells, ["record_month"], ["record_month", "day_type", "time_period", "pair_id", "travel_time_sec"])
+    laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("record_month").parquet(root)
+
+
+def read_month_cells(spark: SparkSession, root: str) -> DataFrame:
+    """Cells written by :func:`write_month_cells`; none where nothing was written yet."""
+    try:
+        return spark.read.schema(MONTH_CELLS).parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MONTH_CELLS)
+
+
 #: What Spark escapes in names of partition folders, besides control characters; a fixed format.
 _ESCAPED = frozenset("\"#%'*/:=?\\\x7f{[]^")
 

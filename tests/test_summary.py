@@ -1,7 +1,9 @@
 """Weighted percentiles, levels and grades."""
 
 import random
+from datetime import date
 from fractions import Fraction
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,9 @@ from pyspark.sql import functions as F
 from pacewise import vocab
 from pacewise.operators import levels, summary, weighted
 from pacewise.operators.histogram import histogram
+from pacewise.plans import jobs
+from pacewise.schemas import HISTOGRAM_COLUMNS
+from pacewise.sinks import tables
 from tests.helpers import rows
 
 SCHEMA = "pair_id string, day_type string, time_period string, vehicle_type_group string, travel_time_sec int, total_volume long"
@@ -152,3 +157,31 @@ def test_missing_columns_are_named(spark):
         levels.level_input(spark.sql("SELECT 'A' AS pair_id"))
     with pytest.raises(ValueError, match="unknown form"):
         summary.summarise(hist(spark, [("A", "Weekday", "日間", 1, 1)]), "other")
+
+
+def _month_rows(spark, *months):
+    """Clean rows of some months, with volumes that differ by month."""
+    data = [
+        (pair, date(2026, month, day), 2026, f"2026-{month:02}", "07:05", kind, "早尖峰", "31", 60 + day % 3, volume + i)
+        for month, volume in months for day, kind in ((3, "Weekday"), (4, "Weekend"), (5, "Weekday")) for i, pair in enumerate(("A_B", "C_D"))
+    ]
+    types = ("pair_id string, record_date date, record_year int, record_month string, record_time_minute string, day_type string, "
+             "time_period string, vehicle_type string, travel_time_sec int, volume long")
+    return spark.createDataFrame(data, types)
+
+
+def test_refreshed_histogram_equals_a_rebuilt_one(spark, tmp_path):
+    """After a first build, and after months were added, replaced and removed; months that did not change are not opened."""
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS kept")
+    steps = [([(1, 10), (2, 20), (3, 30)], None), ([(1, 10), (2, 25), (3, 30), (4, 40)], ["2026-02", "2026-04"]),
+             ([(1, 10), (3, 30), (4, 40)], ["2026-02"]), ([(1, 10), (4, 40)], None)]
+    for months, changed in steps:
+        clean = _month_rows(spark, *months)
+        tables.write_clean(clean, "kept.clean", overwrite=True)
+        if changed:
+            folder = spark.sql("DESCRIBE EXTENDED kept.clean").filter("col_name = 'Location'").first().data_type.removeprefix("file:")
+            (Path(folder) / "record_month=2026-01" / "part-broken.parquet").write_bytes(b"not a Parquet file")
+            spark.catalog.refreshTable("kept.clean")
+        for _ in range(2):
+            jobs.refresh_histogram(spark, "kept.clean", str(tmp_path / "cells"), "kept.histogram", changed)
+            assert rows(spark.table("kept.histogram").select(*HISTOGRAM_COLUMNS)) == rows(histogram(clean))

@@ -257,6 +257,75 @@ def test_a_long_chain_of_replies(spark):
     assert all((r.thread, r.depth) == (0, r.turn) for r in got)
 
 
+def _plain_links(rows):
+    """Parents, linked lines and reply order of one conversation, message by message."""
+    said, parents, n_linked = {}, {}, {}
+    for turn, text in rows:
+        message = quotations.parsed(text)
+        votes = {}
+        groups = {}
+        for passage, level, key, lines, whole in message.asked:
+            groups.setdefault(passage, []).append((level, key, lines, whole))
+        for units in groups.values():
+            whole = [u for u in units if u[3] and u[1] in said]
+            for level, key, lines, _ in whole or [u for u in units if u[1] in said]:
+                votes[level, said[key]] = votes.get((level, said[key]), 0) + lines
+        n_linked[turn] = sum(votes.values())
+        parents[turn] = min(votes, key=lambda v: (v[0], -votes[v], -v[1]))[1] if votes else None
+        for key in message.said:
+            said.setdefault(key, turn)
+    order = []
+
+    def walk(parent):
+        for turn in sorted(t for t in parents if parents[t] == parent):
+            order.append(turn)
+            walk(turn)
+
+    walk(None)
+    return parents, n_linked, {t: i for i, t in enumerate(order)}
+
+
+def test_random_reply_trees(spark):
+    """Wrapped, nested, short and repeated passages against a plain walk; every quote of an earlier message is found."""
+    rng = random.Random(3)
+    rows, quoted_from = [], {}
+    for conv in range(6):
+        own = {}
+        for turn in range(25):
+            own[turn] = [" ".join(rng.choice(("yes", "no", "maybe", "Tea", "rain", "ä", "42")) for _ in range(rng.choice((1, 2, 9, 30)))) + f" {turn if rng.random() < 0.8 else ''}" for _ in range(rng.randint(1, 3))]
+            text = ""
+            if turn and rng.random() < 0.8:
+                source = rng.randrange(turn)
+                words = " ".join(own[source]).split()
+                width = rng.randint(2, 12)
+                mark = rng.choice((">", "> ", " > > "))
+                text = "".join(f"{mark}{' '.join(words[i : i + width])}\n" for i in range(0, len(words), width))
+                quoted_from[conv, turn] = source
+            rows.append((conv, turn, "user", f"{text}\n" + "\n".join(own[turn])))
+    got = {(r.conv_id, r.turn): r for r in quotations.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)).collect()}
+    for conv in range(6):
+        parents, n_linked, order = _plain_links([(t, x) for c, t, _, x in rows if c == conv])
+        for turn in parents:
+            r = got[conv, turn]
+            assert (r.parent_turn, r.n_linked, r.position) == (parents[turn], n_linked[turn], order[turn])
+            if (conv, turn) in quoted_from:
+                assert r.n_linked == r.n_quoted and r.parent_turn <= quoted_from[conv, turn]
+
+
+def test_wrapped_short_and_endless_quotes(spark):
+    long = "word " * 20_000
+    rows = [
+        (1, 0, "user", "Shall we go to the old harbour tomorrow morning?"), (1, 1, "user", "> Shall we go to the\n> old harbour tomorrow\n> morning?\nyes, agreed"),
+        (1, 2, "user", "> yes, agreed\nfine"), (1, 3, "user", ">" * 100_000 + " fine\nmore"), (1, 4, "user", long), (1, 5, "user", f"> {long}\nread it"),
+        (1, 0, "user", "Shall we go to the old harbour tomorrow morning?"), (1, 6, "user", None),
+    ]
+    got = {}
+    for r in quotations.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect():
+        got.setdefault(r.turn, []).append((r.parent_turn, r.n_quoted, r.n_linked, r.depth, r.position))
+    assert got == {0: [(None, 0, 0, 0, 0)] * 2, 1: [(0, 3, 3, 1, 1)], 2: [(1, 1, 1, 2, 2)], 3: [(2, 1, 1, 3, 3)], 4: [(None, 0, 0, 0, 4)],
+                   5: [(4, 1, 1, 1, 5)], 6: [(None, 0, 0, 0, 6)]}
+
+
 # Pipeline
 
 

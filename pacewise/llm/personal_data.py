@@ -23,12 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacewise.llm.common import by_batch, slices
+from pacewise.llm.common import by_batch, give_back, slices
 
 #: Fixed kinds, in the order of the results.
 KINDS = ("email", "ip", "card", "phone")
-#: Most tokens of a segment, and characters of a token that the field looks at.
-SPAN, TOKEN_CHARS = 6, 80
+#: Most tokens of a segment.
+SPAN = 6
+#: Windows that the field learns from; tokens of a window that it learns, and characters that these may have in all.
+SAMPLE, LEARNED_TOKENS, LEARNED_CHARS = 1500, 4 * SPAN, 2000
+#: Tasks that narrow the windows of all tasks to those with the smallest hashes.
+_MERGERS = 64
 _FEATURES = 1 << 13
 _NONE = len(KINDS)
 
@@ -112,8 +116,8 @@ def windows(text: str) -> list[Window]:
     for hit in hits:
         if hit < done:
             continue
-        begin = _token_start(text, hit)
-        before = _token_start(text, begin - 1) if begin > done else begin
+        begin = _token_start(text, hit, done)
+        before = _token_start(text, begin - 1, done) if begin > done else begin
         window, at = Window([], [], []), max(before, done)
         while match := _TOKEN.search(text, at):
             _append(window, match)
@@ -126,9 +130,8 @@ def windows(text: str) -> list[Window]:
     return found
 
 
-def _token_start(text: str, at: int) -> int:
-    """Where the token before or at a place begins; looks back a bounded way."""
-    least = max(0, at - TOKEN_CHARS)
+def _token_start(text: str, at: int, least: int) -> int:
+    """Where the token before or at a place begins; looks back to ``least`` at most, so that all windows of a text cost its length."""
     while at > least and text[at - 1 : at].isspace():
         at -= 1
     while at > least and not text[at - 1].isspace():
@@ -140,7 +143,7 @@ def _append(window: Window, match: re.Match) -> None:
     token = match[0]
     left = len(token) - len(token.lstrip(_EDGE))
     core = token.strip(_EDGE)
-    window.tokens.append(core[:TOKEN_CHARS] or token[:1])
+    window.tokens.append(core or token[:1])
     window.starts.append(match.start() + (left if core else 0))
     window.ends.append(match.start() + (left + len(core) if core else 1))
 
@@ -176,6 +179,11 @@ def _may_be(tokens: list[str], i: int, j: int) -> bool:
     return bool(_TRIGGER.search(tokens[i]) and _TRIGGER.search(tokens[j - 1]))
 
 
+def _first_from_none(scores: np.ndarray) -> np.ndarray:
+    """Kind of the highest score in each column; of equal ones none, then the last kind."""
+    return _NONE - scores[::-1].argmax(axis=0)
+
+
 @dataclass
 class Field:
     """Weights of (feature, kind) and of (kind, kind next to it); the last kind is none."""
@@ -204,7 +212,7 @@ class Field:
         return found
 
     def best(self, tokens: list[str]) -> list[tuple[int, int, int]]:
-        """The segmentation of highest score: (first token, end, kind), without none."""
+        """The segmentation of highest score: (first token, end, kind), without none, which wins ties: a field of zeros labels nothing."""
         scores, n = self.scores(tokens), len(tokens)
         value = np.full((n + 1, _NONE + 1), -np.inf)
         value[0, _NONE] = 0.0
@@ -213,12 +221,12 @@ class Field:
             for i in range(max(0, j - SPAN), j):
                 if (i, j) in scores:
                     came = value[i][:, None] + self.moves
-                    before = came.argmax(axis=0)
+                    before = _first_from_none(came)
                     total = came.max(axis=0) + scores[i, j][1]
                     for kind in np.flatnonzero(total > value[j]).tolist():
                         value[j, kind] = total[kind]
                         back[j, kind] = i, int(before[kind])
-        out, j, kind = [], n, int(value[n].argmax())
+        out, j, kind = [], n, int(_first_from_none(value[n]))
         while j:
             i, before = back[j, kind]
             if kind != _NONE:
@@ -304,24 +312,63 @@ def _without_prefix(tokens: list[str], gold: list[tuple[int, int, int]]) -> tupl
     return None
 
 
-def fit(docs: DataFrame, sample: int = 1500) -> Field:
-    """A field from at most ``sample`` windows (those with the smallest hash) of all of ``docs``."""
+class _Smallest:
+    """The distinct windows with the smallest hashes among those added, ``sample`` of them at most."""
+
+    def __init__(self, sample: int):
+        self.sample, self.found = sample, {}
+
+    def add(self, key: int, tokens: list[str], gold: list[int]) -> None:
+        self.found[key] = tokens, gold
+        if len(self.found) > 4 * self.sample:
+            self.cut()
+
+    def cut(self) -> None:
+        self.found = {k: self.found[k] for k in sorted(self.found)[: self.sample]}
+
+    def batch(self) -> pa.RecordBatch:
+        self.cut()
+        kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()))
+        columns = list(self.found), [t for t, _ in self.found.values()], [g for _, g in self.found.values()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "tokens", "gold"])
+
+
+def _key(tokens: list[str], gold: list[int]) -> int:
+    text = "\0".join(tokens) + f"\0{gold}"
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
+    """A field from at most ``sample`` windows of all of ``docs``: the distinct ones with the smallest hashes.
+
+    Each task keeps that many windows, and some tasks narrow those of all to as many again, so how often a text is repeated, or how many
+    rows there are, does not matter. Of a window only the first LEARNED_TOKENS tokens are learned, and none that
+    has more than LEARNED_CHARS characters in them. Without any window the field is zero and labels nothing.
+    """
 
     def cut(batches):
+        kept = _Smallest(sample)
         for batch in (some for whole in batches for some in slices(whole, 0)):
-            tokens, gold = [], []
             for text in batch.column(0).to_pylist():
                 spans = base_spans(text)
                 for window in windows(text):
-                    tokens.append(window.tokens[: 4 * SPAN])
-                    gold.append([n for s in labelled(window, spans) if s[1] <= 4 * SPAN for n in s])
-            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.list_(pa.string())), pa.array(gold, pa.list_(pa.int32()))], names=["tokens", "gold"])
-
-    plain = docs.select("text").where(F.col("text").rlike("[0-9@]"))
-    found = plain.mapInArrow(cut, "tokens array<string>, gold array<int>")
-    share = min(1.0, 8 * sample / max(plain.count(), 1))  # each row has a window; tasks return few more than are wanted
-    found = found.where(F.pmod(F.xxhash64("tokens"), F.lit(1_000_000_007)) <= share * 1_000_000_007)
-    rows = found.orderBy(F.xxhash64("tokens"), "tokens", "gold").limit(sample).collect()
+                    tokens = window.tokens[:LEARNED_TOKENS]
+                    if sum(map(len, tokens)) <= LEARNED_CHARS:
+                        gold = [n for s in labelled(window, spans) if s[1] <= LEARNED_TOKENS for n in s]
+                        kept.add(_key(tokens, gold), tokens, gold)
+            give_back()
+        yield kept.batch()
+
+    def narrow(batches):
+        kept = _Smallest(sample)
+        for batch in batches:
+            for row in batch.to_pylist():
+                kept.add(row["key"], row["tokens"], row["gold"])
+        yield kept.batch()
+
+    schema = "key long, tokens array<string>, gold array<int>"
+    found = docs.select("text").where(F.col("text").rlike("[0-9@]")).mapInArrow(cut, schema)
+    rows = found.repartition(_MERGERS, "key").mapInArrow(narrow, schema).orderBy("key").limit(sample).collect()
     examples = []
     for row in rows:
         gold = [tuple(row.gold[i : i + 3]) for i in range(0, len(row.gold), 3)]

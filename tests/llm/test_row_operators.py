@@ -194,6 +194,31 @@ def test_segmentation_is_the_best_of_all(field):
         assert field.best(tokens) == [s for s in best if s[2] != personal_data._NONE]
 
 
+def test_the_field_learns_from_repeated_texts(spark):
+    """Windows count once, however often their text is repeated; without any, the field labels nothing."""
+    few = [f"call +49 30 {n:07} 12 or mail a{n}@mail.example.com today" for n in range(50)]
+    types = "doc_id long, text string"
+    plain = spark.createDataFrame(list(enumerate(few)), types)
+    hot = spark.createDataFrame([(n, few[0]) for n in range(5000)] + list(enumerate(few)) * 2, types).repartition(7)
+    one, other = personal_data.fit(plain), personal_data.fit(hot)
+    assert one.weights.any() and np.array_equal(one.weights, other.weights) and np.array_equal(one.moves, other.moves)
+    alone = personal_data.fit(spark.createDataFrame([(n, few[0]) for n in range(1000)], types))
+    assert alone.weights.any() and personal_data.all_spans("room 12 now", alone)[0] == []
+    for nothing in ([], [(1, None), (2, "no sign of it")]):
+        zero = personal_data.fit(spark.createDataFrame(nothing, types))
+        assert not zero.weights.any()
+        assert personal_data.all_spans("room 12 now, mail a@b.example or ring 555 1234", zero)[1] == [("email", 18, 29)]
+
+
+def test_long_tokens_are_seen_whole(field):
+    address = "y" * 1000 + "@mail.example.com"
+    for text in (f"to {address} now", "x" * 1000 + "7 end", "7" + "x" * 100_000):
+        found = personal_data.windows(text)
+        assert max((t for w in found for t in w.tokens), key=len) == max(text.split(), key=len)
+        base, every = personal_data.all_spans(text, field)
+        assert base == _base(text) and set(base) <= set(every)
+
+
 def test_redaction(spark, field):
     docs = with_clashes(spark.createDataFrame([(1, "mail a.b@c.de or 10.0.0.1!", 9), (2, None, 0), (3, "plain", 5)], "doc_id long, text string, n_chars long"))
     got = {r.doc_id: r for r in personal_data.redacted(docs, field).collect()}

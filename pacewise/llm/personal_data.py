@@ -31,8 +31,8 @@ KINDS = ("email", "ip", "card", "phone")
 SPAN = 6
 #: Windows that the field learns from; tokens of a window that it learns, and characters that these may have in all.
 SAMPLE, LEARNED_TOKENS, LEARNED_CHARS = 1500, 4 * SPAN, 2000
-#: Tasks that narrow the windows of all tasks to those with the smallest hashes.
-_MERGERS = 64
+#: Tasks that narrow the windows of all tasks to those with the smallest hashes, and those that narrow theirs for the driver.
+_MERGERS, _LAST = 64, 4
 _FEATURES = 1 << 13
 _NONE = len(KINDS)
 
@@ -368,7 +368,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
 
     schema = "key long, tokens array<string>, gold array<int>"
     found = docs.select("text").where(F.col("text").rlike("[0-9@]")).mapInArrow(cut, schema)
-    rows = found.repartition(_MERGERS, "key").mapInArrow(narrow, schema).orderBy("key").limit(sample).collect()
+    found = found.repartition(_MERGERS, "key").mapInArrow(narrow, schema).repartition(_LAST).mapInArrow(narrow, schema)
+    rows = found.orderBy("key").limit(sample).collect()
     examples = []
     for row in rows:
         gold = [tuple(row.gold[i : i + 3]) for i in range(0, len(row.gold), 3)]

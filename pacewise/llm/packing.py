@@ -1,22 +1,23 @@
 """Packing documents into sequences along a space-filling curve.
 
 Every document becomes token ids (its tokens and an end id) and a short vector: the sum of a hashed random
-direction per token, scaled to unit variance. The vector's coordinates, on a fixed grid, give a Hilbert key, so
-documents with similar words get close keys. The keyed documents are written once; a range sort by (key, hash)
-then deals them out, and each partition pours its documents, in order, into sequences. A document is cut
-where a sequence is full, so only the last sequence of a partition has padding. Equal keys are split by
-the hash, so copies of one document do not meet in one task.
+direction per token, scaled to length one, so that its length in words does not count. The vector's coordinates, on a fixed grid,
+give a Hilbert key, so documents with similar words get close keys. The keyed documents are written once. The bytes of ids in each
+stretch of the curve then cut it into ranges of like size, one a task, and each task pours its documents, sorted along the curve,
+into sequences. A document is cut where a sequence is full, so only the last sequence of a task has padding. A stretch with more
+bytes than a task takes is split by a hash, so copies of one document do not meet in one task.
 """
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacewise.llm.common import by_batch, give_back, hashes, kept, mix, slices, written
@@ -25,6 +26,8 @@ from pacewise.llm.common import by_batch, give_back, hashes, kept, mix, slices,
 LENGTH = 4096
 #: Dimensions of the vectors, and bits of the curve for each.
 DIMENSIONS, CURVE_BITS = 4, 8
+#: Stretches of the curve whose bytes are counted.
+STRETCH_BITS = 16
 #: Most words that a worker keeps, and the bytes of the longest.
 CACHE_WORDS, KEPT_BYTES = 3_000_000, 64
 #: Anything but white space and the characters that the tokenizer's normal form leaves as they are, but for lower case.
@@ -168,14 +171,18 @@ def hilbert_keys(grid: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+@functools.cache
+def _table(dimensions: int) -> np.ndarray:
+    return directions(np.arange(1 << 16), dimensions)
+
+
 def curve_keys(ids: list[np.ndarray], dimensions: int = DIMENSIONS, bits: int = CURVE_BITS) -> np.ndarray:
     """Hilbert key of each document from its ids; no document may be empty."""
     sizes = np.array([len(i) for i in ids], dtype=np.int64)
     starts = np.cumsum(sizes) - sizes
-    table = directions(np.arange(1 << 16), dimensions)
-    every = np.concatenate(ids)
-    sums = np.stack([np.add.reduceat(table[every, d], starts) for d in range(dimensions)], axis=1)
-    place = np.arctan(sums / np.sqrt(sizes)[:, None] / 4) / np.pi + 0.5
+    table, every = _table(dimensions), np.concatenate(ids)
+    sums = np.stack([np.add.reduceat(table[every, d], starts, dtype=np.float64) for d in range(dimensions)], axis=1)
+    place = (sums / np.maximum(np.sqrt((sums**2).sum(axis=1)), 1)[:, None] + 1) / 2
     return hilbert_keys(np.minimum((place * (1 << bits)).astype(np.int64), (1 << bits) - 1), bits)
 
 
@@ -194,19 +201,33 @@ def keyed(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return plain.mapInArrow(by_batch(encode), "doc_id long, key long, ids binary")
 
 
+def _dealt(table: DataFrame, bytes_a_task: int) -> DataFrame:
+    """The keyed documents, a range of the curve with about ``bytes_a_task`` bytes of ids in each partition, with its number ``part``.
+
+    Only the bytes of each stretch are gathered, in 65,536 rows at most. No range has more than twice the bytes, but for a longer document.
+    """
+    stretch = F.shiftright("key", DIMENSIONS * CURVE_BITS - STRETCH_BITS)
+    sums = table.groupBy(stretch.alias("stretch")).agg(F.sum(F.octet_length("ids")).alias("held"))
+    before = F.coalesce(F.sum("held").over(Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = written(sums.select("stretch", "held", before.alias("before")), "stretches")
+    size = sums.agg(F.sum("held")).first()[0] or 0
+    count = max(1, -(-size // bytes_a_task))
+    share = F.when(F.col("held") > bytes_a_task, F.col("salt") / F.lit(2.0**64) + 0.5).otherwise(0.5)  # salts are spread evenly
+    part = F.least(F.floor((F.col("before") + F.col("held") * share) / bytes_a_task), F.lit(count - 1)).cast("int").alias("part")
+    placed = table.withColumn("stretch", stretch).join(F.broadcast(sums), "stretch").select("doc_id", "key", "salt", "ids", part)
+    return placed.repartitionById(count, "part").sortWithinPartitions("key", "salt", "doc_id")
+
+
 def packed(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 2, bytes_a_task: int = 16 << 20) -> DataFrame:
     """Pieces of all documents in sequences of at most ``length`` ids: doc_id, start (the document's ids before
     the piece), ids (little-endian unsigned 32-bit numbers), doc_tokens, sequence_id and offset (place in the sequence).
 
     A null text counts as empty: its document is the end id alone. Rows are independent, so null and repeated
-    doc_ids get pieces each; other columns of ``docs`` are not read. The number of range partitions follows the
+    doc_ids get pieces each; other columns of ``docs`` are not read. The number of ranges follows the
     bytes of ids. A sequence is filled before the next begins; its tail is padding only at the end of a partition.
     """
     table = written(keyed(docs, tokenizer, end_id).withColumn("salt", F.xxhash64("ids", "doc_id")), "packing")
-    size = table.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-    count = max(1, -(-size // bytes_a_task))
-    dealt = table.repartitionByRange(count, "key", "salt").sortWithinPartitions("key", "salt", "doc_id")
-    dealt = dealt.withColumn("part", F.spark_partition_id())
+    dealt = _dealt(table, bytes_a_task)
 
     def pour(batches) -> Iterator[pa.RecordBatch]:
         sequence, offset = 0, 0

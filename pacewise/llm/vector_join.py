@@ -45,17 +45,33 @@ def _limits(size: int, cosine: float) -> list[float]:
     return [(2 - 2 * cosine) * (b.stop - b.start) / size + _SLACK for b in blocks(size)]
 
 
+def _packed(vector: np.ndarray) -> bytes:
+    """A vector of doubles as bytes behind a mark; components that single precision holds exactly take four bytes each."""
+    with np.errstate(over="ignore"):
+        small = vector.astype("<f4")
+    return b"4" + small.tobytes() if (small == vector).all() else b"8" + vector.astype("<f8").tobytes()
+
+
+def _unit(raw: bytes) -> np.ndarray:
+    """The packed vector scaled to length one; very large and very small ones are scaled before they are squared."""
+    vector = np.frombuffer(raw, "<f4" if raw[:1] == b"4" else "<f8", offset=1).astype(np.float64)
+    largest = np.abs(vector).max()
+    if not 1e-100 < largest < 1e100:
+        vector = vector / largest
+    return vector / np.sqrt(vector @ vector)
+
+
 def _turned(batches):
     """(rep, copies, raw) to a row for each block: with the rotated coordinates and the block's first one."""
     for batch in batches:
         raws = batch.column(2).to_pylist()
         columns: list[list] = [[], [], [], [], [], [], []]
         for place, raw in enumerate(raws):
-            vector = np.frombuffer(raw, "<f4").astype(np.float64)
+            vector = _unit(raw)
             size = len(vector)
             if size not in _rotations:
                 _rotations[size] = rotation(size)
-            turned = (vector / np.sqrt(vector @ vector) @ _rotations[size]).astype("<f4")
+            turned = (vector @ _rotations[size]).astype("<f4")
             for number, block in enumerate(blocks(size)):
                 for column, value in zip(columns, (size, number, float(turned[block.start]), batch.column(0)[place].as_py(), batch.column(1)[place].as_py(), turned.tobytes(), raw), strict=True):
                     column.append(value)
@@ -85,8 +101,7 @@ class _Side:
         self.rep = rows.column("rep").to_numpy()
         self.copies = rows.column("copies").to_numpy()
         self.turned = np.frombuffer(b"".join(rows.column("turned").to_pylist()), "<f4").reshape(-1, size)
-        raw = np.frombuffer(b"".join(rows.column("raw").to_pylist()), "<f4").reshape(-1, size).astype(np.float64)
-        self.unit = raw / np.sqrt((raw * raw).sum(axis=1))[:, None]
+        self.unit = np.stack([_unit(raw) for raw in rows.column("raw").to_pylist()]) if rows.num_rows else np.empty((0, size))
 
 
 def _near(one: np.ndarray, two: np.ndarray, limit: float) -> np.ndarray:
@@ -178,7 +193,7 @@ def _comparer(cosine: float):
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
-    """vec_id, n_links, component_id and kept of every row of ``vectors`` (vec_id, embedding: array of float).
+    """vec_id, n_links, component_id and kept of every row of ``vectors`` (vec_id, embedding: array of float or double).
 
     Null and zero vectors and those with a null or non-finite component link with nothing, and neither do rows without vec_id (their
     component is null, and they are not kept). Vectors of different lengths do not link. Rows with the same vec_id
@@ -190,12 +205,12 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
             found = []
             for values in batch.column(1).to_pylist():
                 ok = values and None not in values
-                vector = np.array(values if ok else [], dtype="<f4")
+                vector = np.array(values if ok else [], dtype=np.float64)
                 ok = ok and bool(np.isfinite(vector).all()) and bool(vector.any())
-                found.append(vector.tobytes() if ok else None)
+                found.append(_packed(vector + 0.0) if ok else None)  # -0.0 equals 0.0
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["vec_id", "raw"])
 
-    plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     table = written(plain.mapInArrow(raw, "vec_id long, raw binary"), "vectors")
     classes = table.where("raw is not null and vec_id is not null").groupBy("raw").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     classes = written(classes.select("rep", "copies", "raw"), "classes")

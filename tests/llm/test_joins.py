@@ -1,6 +1,7 @@
 """Joins, packing, quotations and the pipeline, against brute force on small inputs."""
 
 import itertools
+import math
 import random
 import re
 import string
@@ -165,6 +166,15 @@ def test_pigeonhole_join(spark, monkeypatch):
     assert vector_join.near_vectors(vectors.limit(0)).collect() == []
 
 
+def test_vectors_of_doubles(spark):
+    """Cosines that single precision would not tell apart, and components beyond its range."""
+    just = [0.9, math.sqrt(1 - 0.81), 0.0, 0.0]
+    rows = [(0, [1.0, 0.0, 0.0, 0.0]), (1, [0.9 + 1e-10, *just[1:]]), (2, [0.9 - 1e-10, *just[1:]]), (3, [0.0, 0.0, 1e39, 0.0]), (4, [0.0, 0.0, 2e300, 1e299]),
+            (5, [0.0, -0.0, 3e-200, 0.0]), (6, [0.0, 0.0, float("inf"), 0.0]), (7, [0.0, 0.0, float("nan"), 1.0]), (8, [0.0, -0.0, 0.0, 0.0])]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vector_join.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert found == {0: (1, 0), 1: (2, 0), 2: (1, 0), 3: (2, 3), 4: (2, 3), 5: (2, 3), 6: (0, 6), 7: (0, 7), 8: (0, 8)}
+
+
 def test_tiles_cut_at_their_size():
     rows = [(20, 0, float(i), i, 1, b"", b"", 3) for i in range(vector_join.TILE + 2)] + [(20, 1, 0.0, 9, 1, b"", b"", 3)]
     import pyarrow as pa
@@ -229,6 +239,30 @@ def test_packing_is_an_exact_round_trip(spark):
     assert packing.packed(docs.limit(0), WORDS).collect() == []
 
 
+def test_ranges_have_like_bytes(spark):
+    """Copies of one document, long and short ones: no task has twice the mean, and ranges follow the curve."""
+    rng = random.Random(4)
+    words_ = ["".join(rng.choice(string.ascii_lowercase) for _ in range(4)) for _ in range(500)]
+    texts = [" ".join(rng.choice(words_) for _ in range(rng.choice((5, 50, 400)))) for _ in range(600)] + [" ".join(words_[:200])] * 300
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = packing.keyed(docs, WORDS, 2).selectExpr("*", "xxhash64(ids, doc_id) AS salt")
+    size = table.selectExpr("sum(octet_length(ids))").first()[0]
+    held, keys = {}, {}
+    for r in packing._dealt(written(table, "keyed"), size // 12).selectExpr("*", "spark_partition_id() AS task").collect():
+        assert r.task == r.part
+        held[r.part] = held.get(r.part, 0) + len(r.ids)
+        keys.setdefault(r.part, []).append(r.key)
+    assert len(held) >= 12 and max(held.values()) <= 2 * size / 12
+    ends = [(min(k) >> 16, max(k) >> 16) for _, k in sorted(keys.items())]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_keys_do_not_follow_length():
+    """A text and the same text three times over lie at the same place of the curve."""
+    ids = [np.arange(k, k + 40, dtype=np.uint16) for k in range(0, 4000, 7)]
+    assert (packing.curve_keys(ids) == packing.curve_keys([np.tile(i, 3) for i in ids])).all()
+
+
 # Quotations
 
 

@@ -376,7 +376,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
         examples.append((row.tokens, gold))
         if other := _without_prefix(row.tokens, gold):
             examples.append(other)
-    return train(examples)
+    field = train(examples)
+    give_back()  # the driver goes on to other stages
+    return field
 
 
 def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:

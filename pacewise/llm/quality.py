@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pacewise.llm.common import NOT_SPACE, Words, by_batch, counted, distinct, mix
+from pacewise.llm.common import NOT_SPACE, Words, by_batch, counted, distinct, give_back, mix
 
 #: Bits of a feature number; every vector of the model has this many entries.
 BITS = 18
@@ -192,7 +192,10 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 0, fold: int = 0, sampl
     training = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
     got = training.mapInArrow(by_batch(numbered), "quality int, numbers binary").collect()
     got.sort(key=lambda r: (r.quality, r.numbers))
-    return fit_rows([np.frombuffer(r.numbers, "<i4") for r in got], np.array([r.quality for r in got], dtype=np.int64), cost, epochs)
+    model = fit_rows([np.frombuffer(r.numbers, "<i4") for r in got], np.array([r.quality for r in got], dtype=np.int64), cost, epochs)
+    del got
+    give_back()  # the driver goes on to other stages
+    return model
 
 
 def in_fold(doc_id: Column, folds: int, fold: int) -> Column:

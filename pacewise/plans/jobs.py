@@ -21,7 +21,7 @@ from pacewise.schemas import SUMMARY_COLUMNS, require_columns
 from pacewise.sinks import files, tables
 from pacewise.sources.dimensions import calendar, location, read_dimension, read_mapping
 from pacewise.sources.feed import FeedFilter, read_feed
-from pacewise.sources.segments import list_segment_files, read_segment_lines, read_segment_table, split_partitions, unit_of
+from pacewise.sources.segments import list_segment_files, read_listed_lines, read_segment_table, split_partitions, unit_of
 
 
 def split(
@@ -128,8 +128,8 @@ def convert(
     planned = conversion.planned_files(found, None if overwrite else conversion.unchanged_files(found, manifest))
     if dry_run:
         return planned.drop("unit")
-    # File names (not data) pass through the driver, as in any Spark file listing.
-    lines = read_segment_lines(spark, [r.source_file for r in planned.filter("length > 0").toLocalIterator()])
+    planned = stored(planned, "planned-files")
+    lines = read_listed_lines(spark, split_root, planned.filter("length > 0"))
     conversion.file_verdicts(lines, planned).write.mode("overwrite").parquet(report)
     verdicts = spark.read.parquet(report)
     files.write_segments(conversion.accepted_rows(lines, verdicts), output)

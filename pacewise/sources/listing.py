@@ -8,7 +8,7 @@ from pacewise.functions.normalize import decoded_path
 
 
 def list_files(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:
-    """``path`` and ``length`` of every file under ``folder``; raises if the folder is missing."""
+    """``path``, ``length`` and ``modified`` of every file under ``folder``; raises if the folder is missing."""
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -18,7 +18,7 @@ def list_files(spark: SparkSession, folder: str, recursive: bool = True) -> Data
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"input folder not found: {folder}") from error
         raise
-    return found.select(decoded_path(F.col("path")).alias("path"), "length")
+    return found.select(decoded_path(F.col("path")).alias("path"), "length", F.col("modificationTime").alias("modified"))
 
 
 def list_empty_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:

@@ -25,6 +25,7 @@ def list_segment_files(spark: SparkSession, root: str) -> DataFrame:
     empty = list_empty_files(spark, root, "*.csv").withColumn("length", F.lit(0).cast("long"))
     return (
         list_files(spark, root)
+        .select("path", "length")
         .unionByName(empty)
         .filter(path.endswith(".csv") & ~path.rlike("/[_.][^/]*$"))
         .select(path.alias("source_file"), _pair_of(path).alias("pair_id"), "length")
@@ -68,6 +69,31 @@ def read_segment_lines(spark: SparkSession, files: list[str]) -> DataFrame:
     return with_row_id(line_columns(spark.read.text(files)))
 
 
+#: Files up to which a scan is given their names, and up to which a table of names is broadcast; beyond, Spark chooses the join.
+NAMED_FILES, BROADCAST_FILES = 1_000, 100_000
+
+
+def read_listed_lines(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """Text lines of those CSV files under ``root`` that ``files`` (``source_file``, a table) names.
+
+    A few are read by name. Of many no name passes through the driver: the tree is scanned, the names are joined, and of the other
+    files only those are opened that are not older than the oldest named one.
+    """
+    few = [row.source_file for row in files.select("source_file").limit(NAMED_FILES + 1).collect()]
+    if len(few) <= NAMED_FILES:
+        return read_segment_lines(spark, few)
+    named = files.select("source_file").distinct()
+    small = files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES
+    listed = list_files(spark, root).withColumnRenamed("path", "source_file")
+    oldest = listed.join(named, "source_file", "left_semi").agg(F.min("modified")).first()[0]
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(root)
+    lines = line_columns(text.filter(F.col("_metadata.file_modification_time") >= F.lit(oldest)))
+    one_slash = F.regexp_replace("source_file", "^file:/+", "file:/")
+    named = named.select(one_slash.alias("same"))
+    lines = lines.withColumn("same", one_slash).join(F.broadcast(named) if small else named, "same", "left_semi")
+    return with_row_id(lines.drop("same"))
+
+
 def read_segment_table(spark: SparkSession, path: str, partitioned: bool = False) -> DataFrame:
     """Segment Parquet with ``pair_id``.
 

@@ -1,9 +1,13 @@
 """Whole-file rejection, incremental conversion and its report."""
 
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from pacewise.operators import conversion
 from pacewise.plans import jobs
+from pacewise.sources import segments
 from pacewise.sources.segments import list_segment_files, read_segment_lines, read_segment_table
 from pacewise.streaming.incremental import checkpoint_folder, convert_new_files
 
@@ -79,6 +83,26 @@ def test_convert_is_incremental(spark, root, tmp_path):
     assert counts[("P1", "2025_P1")] == 9 and len(counts) == 5
 
 
+def test_many_files_are_joined_and_older_ones_stay_closed(spark, root, tmp_path, monkeypatch):
+    out, report = str(tmp_path / "out"), str(tmp_path / "report")
+    assert stems(jobs.convert(spark, str(root), out, report)) == WANT
+    counts = {tuple(r) for r in table(spark, out)}
+    for path in root.glob("*/*.csv"):
+        if WANT[path.stem][0] == "converted":
+            path.write_bytes(b"\x1f\x8b not text\n" * 3)  # would be rejected if it were read
+            os.utime(path, (1, 1))
+    (root / "P1/2027_P1.csv").write_text(GOOD * 4)
+    monkeypatch.setattr(segments, "NAMED_FILES", 0)
+    for limit in (100, 0):
+        monkeypatch.setattr(segments, "BROADCAST_FILES", limit)
+        seen = segments.read_listed_lines(spark, str(root), list_segment_files(spark, str(root)).filter("source_file like '%2027%'"))
+        assert [(r.pair_id, r.line) for r in seen.collect()] == [("P1", GOOD.strip())] * 4
+        assert stems(seen.select("source_file", F.lit("").alias("status"), F.lit("").alias("reason"), F.lit(0).alias("data_rows")).distinct()) == {"2027_P1": ("", "", 0)}
+    again = stems(jobs.convert(spark, str(root), out, report))
+    assert set(again) == {n for n, v in WANT.items() if v[0] == "failed"} | {"2027_P1"}
+    assert {tuple(r) for r in table(spark, out)} == counts | {("P1", "2027_P1", 4)}
+
+
 def test_plain_folder_layout(spark, tmp_path):
     folder = tmp_path / "seg" / "01F A+B"
     spark.sql("SELECT '2026/6/14' RecordDate, '5' RecordTime, 31S VehicleType, 5 TravelTime, 2 Volume").write.parquet(str(folder))

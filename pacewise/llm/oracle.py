@@ -18,9 +18,8 @@ def _crc(text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295, {each}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
 
 
-_SQL = {
-    "op1_jaccard_join": f"""
-        WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+#: CTEs of the shingle sets, their links in both directions, and what links reach.
+_LINKED = f"""        WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
         s AS (
             SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS shingle
             FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)
@@ -31,10 +30,18 @@ _SQL = {
             SELECT a, b FROM common JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 75 * (x.n + y.n - c)
         ),
         links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
-        reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)"""
+
+_SQL = {
+    "op1_jaccard_join": f"""{_LINKED}
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = d.doc_id) AS component_id
         FROM d LEFT JOIN n ON d.doc_id = n.doc_id
     """,
+    "jaccard_link_counts": f"""{_LINKED}
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT count(*) FROM links WHERE links.a = d.doc_id) AS n_links,
+            (SELECT min(b) FROM reach WHERE reach.a = d.doc_id) AS component_id
+        FROM d LEFT JOIN n ON d.doc_id = n.doc_id
+    """,
     "op4_embedding_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
         good AS (SELECT * FROM v WHERE list_dot_product(e, e) > 0 AND isfinite(list_dot_product(e, e))),

@@ -14,12 +14,14 @@ own over the documents; documents are never shuffled.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pacewise.llm.common import ALNUM, Words, by_batch, distinct, fresh, parts
 
@@ -201,6 +203,12 @@ def contaminations(docs: DataFrame, items: DataFrame) -> DataFrame:
     where ``docs`` has such a column. Null and empty texts have no words. Items without id or text are left out; a
     repeated item_id counts once. Rows are independent, so repeated and null doc_ids give a row each. With
     an empty benchmark nothing is hit."""
+    return _searched(docs, items)
+
+
+def _searched(docs: DataFrame, items: DataFrame, last: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None, last_schema: T.StructType | None = None) -> DataFrame:
+    """See ``contaminations``; ``last`` turns each batch of its result into one of ``last_schema``, in the stage of the last block:
+    a Python stage more would be a worker more on each core."""
     names = [fresh(docs.columns, n) for n in ("n_words", "spans", "item_ids")]
     frame = docs.withColumns({names[0]: F.lit(0).cast("long"), names[1]: F.array().cast("array<bigint>"), names[2]: F.array().cast("array<string>")})
     text_at = [c.lower() for c in docs.columns].index("text")
@@ -227,9 +235,13 @@ def contaminations(docs: DataFrame, items: DataFrame) -> DataFrame:
         return search
 
     context = docs.sparkSession.sparkContext
-    for block in blocks_of(items):
-        frame = frame.mapInArrow(by_batch(searcher(context.broadcast(block)), text_at), schema)
-    return frame
+    searchers = (searcher(context.broadcast(block)) for block in blocks_of(items))
+    search = next(searchers)  # an empty benchmark is one empty block
+    for following in searchers:
+        frame, search = frame.mapInArrow(by_batch(search, text_at), schema), following
+    if last is None:
+        return frame.mapInArrow(by_batch(search, text_at), schema)
+    return frame.mapInArrow(by_batch(lambda batch: last(search(batch)), text_at), last_schema)
 
 
 def _merged(a: list[int], b: list[int]) -> list[int]:
@@ -266,7 +278,6 @@ def without_spans(text: str, spans: list[int]) -> str:
 def cleaned(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` with the passages of the benchmark cut out of their texts; all other columns stay, but for ``n_chars``, which follows
     the text. A row whose words all go is left out; rows without any passage stay as they are."""
-    found = contaminations(docs, items)
     names, schema = docs.columns, docs.schema
     lower = [c.lower() for c in names]
     text_at, size_at, width = lower.index("text"), lower.index("n_chars") if "n_chars" in lower else None, len(names)
@@ -285,4 +296,4 @@ def cleaned(docs: DataFrame, items: DataFrame) -> DataFrame:
         kept = [not h or h < w for h, w in zip(hit, words, strict=True)]
         return pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(kept, pa.bool_()))
 
-    return found.mapInArrow(by_batch(cut, text_at), schema)
+    return _searched(docs, items, cut, schema)

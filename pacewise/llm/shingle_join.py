@@ -32,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pacewise.llm.common import NOT_SPACE, Words, counted, distinct, give_back, mix, slices, written
+from pacewise.llm.common import NOT_SPACE, Words, distinct, give_back, mix, slices, written
 from pacewise.llm.components import components
 
 #: Words of a shingle, and similarity in percent from which documents link.
 SHINGLE, PERCENT = 5, 75
 #: Bytes of text for each bucket; there are 256 at least.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20
 #: Largest boundary between light and heavy sets that is considered.
 LIGHT_MOST = 64
 
@@ -63,12 +63,9 @@ def shingles(texts: list[str | None], width: int = SHINGLE) -> tuple[np.ndarray,
     return np.concatenate((words.of[:rows][whole], short)), np.concatenate((gram[whole], each))
 
 
-def _packed(counts: np.ndarray) -> bytes:
-    return counts.astype("<u2" if counts.max(initial=0) < 1 << 16 else "<u4").tobytes()
-
-
-def _counts(raw: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(raw, "<u2" if len(raw) == 2 * size else "<u4").astype(np.int64)
+def _owner_kind(docs: int) -> str:
+    """The type that holds the place of a document in a slice of so many."""
+    return "<u2" if docs <= 1 << 16 else "<u4"
 
 
 def _distinct_counts(of: np.ndarray, hashes: np.ndarray, docs: int) -> np.ndarray:
@@ -78,7 +75,12 @@ def _distinct_counts(of: np.ndarray, hashes: np.ndarray, docs: int) -> np.ndarra
     return np.array([len(distinct(hashes[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)], dtype=np.int64)
 
 
-_DEALT = "bucket int, chunk string, docs int, counts binary, tokens binary, ids binary"
+_DEALT = "bucket int, chunk string, docs int, owners binary, tokens binary, ids binary"
+
+
+def _cut(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Binary values: the bytes of ``values`` between cuts."""
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
 
 
 def _dealer(width: int, bits: int):
@@ -101,40 +103,42 @@ def _dealer(width: int, bits: int):
             owner = (keys >> 32) & ((1 << place) - 1)
             sizes, cut_sizes = _distinct_counts(of, hashes, docs), np.bincount(owner, minlength=docs)
             cuts = np.searchsorted(keys, np.arange((1 << bits) + 1) << (place + 32))
-            low = (keys & 0xFFFFFFFF).astype("<u4")
+            low, own = (keys & 0xFFFFFFFF).astype("<u4"), owner.astype(_owner_kind(docs))
             table = np.array([[i is not None, i or 0, n, m] for i, n, m in zip(ids, sizes.tolist(), cut_sizes.tolist(), strict=True)], dtype="<i8").tobytes()
             # slices with the same rows differ by their place; a slice that is read in another order differs by its content
             chunk = f"{part}-{number}-{hashlib.blake2b(table + low.tobytes(), digest_size=12).hexdigest()}"
             n = 1 << bits
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(n), pa.int32()), pa.array([chunk] * n), pa.array([docs] * n, pa.int32()),
-                 pa.array([_packed(np.bincount(owner[a:b], minlength=docs)) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
-                 pa.array([low[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()), pa.array([table] + [None] * (n - 1), pa.binary())],
-                names=["bucket", "chunk", "docs", "counts", "tokens", "ids"])
+                 _cut(own, cuts), _cut(low, cuts), pa.array([table] + [None] * (n - 1), pa.binary())],
+                names=["bucket", "chunk", "docs", "owners", "tokens", "ids"])
             give_back()
 
     return deal
 
 
-_KEPT = "bucket int, chunk string, docs int, counts binary, tokens binary, classes binary, ids binary"
+_KEPT = "bucket int, chunk string, docs int, owners binary, tokens binary, classes binary, ids binary"
 
 
 def _repeated(group):
     """A bucket's shingles that occur in several documents, back by slice, with a class of their count."""
     give_back()
-    tokens = [np.frombuffer(t, "<u4") for t in group.column("tokens").to_pylist()]
-    values, often = counted(np.concatenate(tokens))
-    values, often = values[often > 1], often[often > 1]
-    classes = np.minimum(np.log2(np.maximum(often, 2)) * 8, 255).astype(np.uint8)
-    rows = []
-    for bucket, chunk, docs, counts, mine, ids in zip(*(group.column(c).to_pylist() for c in ("bucket", "chunk", "docs", "counts")), tokens, group.column("ids").to_pylist(), strict=True):
-        at = np.minimum(np.searchsorted(values, mine), max(len(values) - 1, 0))
-        keep = values[at] == mine if len(values) else np.zeros(len(mine), dtype=bool)
-        owner = np.repeat(np.arange(docs), _counts(counts, docs))
-        rows.append((bucket, chunk, docs, _packed(np.bincount(owner[keep], minlength=docs)), mine[keep].tobytes(), classes[at[keep]].tobytes(), ids))
-    kinds = (pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
-    names = ["bucket", "chunk", "docs", "counts", "tokens", "classes", "ids"]
-    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    docs = group.column("docs").to_numpy()
+    owners, tokens = group.column("owners").to_pylist(), group.column("tokens").to_pylist()
+    sizes = np.array([len(t) for t in tokens], dtype=np.int64) // 4
+    every = np.frombuffer(b"".join(tokens), "<u4")
+    ranked = np.sort(every.astype(np.uint64) << np.uint64(32) | np.arange(len(every), dtype=np.uint64))  # value, then place
+    values, order = (ranked >> np.uint64(32)).astype(np.uint32), (ranked & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    runs = np.diff(np.concatenate((np.flatnonzero(np.concatenate((np.ones(min(len(values), 1), dtype=bool), values[1:] != values[:-1]))), [len(values)])))
+    often = np.minimum(np.log2(np.maximum(runs, 2)) * 8, 255).astype(np.uint8)
+    classes, keep = np.empty(len(every), dtype=np.uint8), np.empty(len(every), dtype=bool)
+    classes[order], keep[order] = np.repeat(often, runs), np.repeat(runs > 1, runs)
+    del ranked, values, order
+    places = np.concatenate(([0], np.cumsum(sizes)))
+    left = np.concatenate(([0], np.cumsum(keep)))[places]
+    mine = [np.frombuffer(o, _owner_kind(n))[keep[a:b]].tobytes() for o, n, a, b in zip(owners, docs.tolist(), places, places[1:], strict=False)]
+    kept = [group.column("bucket"), group.column("chunk"), group.column("docs"), pa.array(mine, pa.binary()), _cut(every[keep], left), _cut(classes[keep], left), group.column("ids")]
+    return pa.table(kept, names=["bucket", "chunk", "docs", "owners", "tokens", "classes", "ids"])
 
 
 _SETS = "doc_id long, n_shingles long, size long, unique long, first_sum long, second_sum long, scan double, tokens array<long>"
@@ -149,10 +153,10 @@ def _assembler(bits: int, percent: int):
             raise RuntimeError("a slice of documents was read in different ways; its input must keep its order when read again")
         docs = group.column("docs")[0].as_py()
         table = np.frombuffer(next(i for i in group.column("ids").to_pylist() if i is not None), "<i8").reshape(docs, 4)
-        counts = np.concatenate([_counts(c, docs) for c in group.column("counts").to_pylist()])
-        owner = np.repeat(np.tile(np.arange(docs), 1 << bits), counts)
-        token = np.frombuffer(b"".join(group.column("tokens").to_pylist()), "<u4").astype(np.int64)
-        token |= np.repeat(np.repeat(np.arange(1 << bits), docs), counts) << 32
+        tokens = group.column("tokens").to_pylist()
+        owner = np.frombuffer(b"".join(group.column("owners").to_pylist()), _owner_kind(docs)).astype(np.int64)
+        token = np.frombuffer(b"".join(tokens), "<u4").astype(np.int64)
+        token |= np.repeat(np.arange(1 << bits), [len(t) // 4 for t in tokens]) << 32
         rank = np.frombuffer(b"".join(group.column("classes").to_pylist()), np.uint8)
         repeated, size = np.bincount(owner, minlength=docs), table[:, 3]
         stays = (size > 0) & (100 * repeated >= percent * size) & (table[:, 0] > 0)

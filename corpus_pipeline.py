@@ -10,19 +10,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pacewise.llm import decontamination, packing, personal_data, quality, shingle_join
-from pacewise.llm.common import table, written
+from pacewise.llm.common import small_batches, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Rows of a batch of documents that a stage hands to a Python worker.
-BATCH_ROWS = 2000
-
 
 def _in_small_batches(stage: Stage) -> Stage:
-    """The stage in a session with small Arrow batches: documents are long, and batches lie outside the JVM's heap, beside the workers."""
+    """The stage in a session with small Arrow batches."""
 
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        small_batches(spark)
         return stage(spark, docs, sf_dir)
 
     run.__doc__ = stage.__doc__

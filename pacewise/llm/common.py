@@ -33,6 +33,15 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: Rows of a batch of documents that a query hands to a Python worker.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Small Arrow batches for the session: documents are long, and batches lie outside the JVM's heap, beside the workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 #: Bytes of text that a worker works on at once; one longer text is worked on alone.
 SLICE_BYTES = 2 << 20
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pacewise.llm import decontamination, language, licenses, packing, personal_data, prefix_trie, quality, quotations, shingle_join, spelling, token_counts, urls, vector_join
-from pacewise.llm.common import table
+from pacewise.llm.common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -23,12 +23,14 @@ def registry() -> dict[str, Query]:
 
 @_query
 def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     return shingle_join.classes(table(spark, folder, "documents"), width=5, percent=75)
 
 
 @_query
 def jaccard_link_counts(spark: SparkSession, folder: str) -> DataFrame:
     """op1 with the number of links of each document, which the columns of op1's SQL do not have."""
+    small_batches(spark)
     return shingle_join.link_counts(table(spark, folder, "documents"), width=5, percent=75)
 
 
@@ -76,6 +78,7 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, folder, "documents")
     return packing.piece_digests(packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), length=4096, end_id=2))
 

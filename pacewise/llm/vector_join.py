@@ -13,6 +13,7 @@ vectors of a tile are one class beforehand.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -28,13 +29,13 @@ BLOCK = 16
 #: Vectors of a tile, and rows that are compared at once.
 TILE, STRIP = 12_288, 256
 #: Bytes of single precision that a tile holds at most, bytes of vectors that a task sorts, and bytes that a worker gets at once.
-_TILE_BYTES, _PART_BYTES, _BATCH_BYTES = 16 << 20, 12 << 20, 32 << 20
+_TILE_BYTES, _PART_BYTES, _BATCH_BYTES = 16 << 20, 12 << 20, 12 << 20
 #: Components that a worker turns into doubles at once.
 _VALUES = 1 << 21
 #: Rows of links that a worker sums up.
 _ROWS = 1 << 19
 #: Vectors that a strip is screened with at once (their products stay in the processor's cache), bytes of tiles that a worker keeps ready.
-_COLUMNS, _READY_BYTES = 1024, 128 << 20
+_COLUMNS, _READY_BYTES = 1024, 64 << 20
 #: One of so many vectors tells whether strips are worth choosing their vectors: not if more than this share meets anyway.
 _PROBE, _MOST = 16, 0.75
 #: Sampled vectors, and for how many vectors one of them is a pivot that others are sorted around.
@@ -43,8 +44,9 @@ _SAMPLE, _PER_PIVOT = 256, 4 * TILE
 _SLACK, _ROUGH, _BAND = 2e-5, 2e-5, 1e-9
 
 
+@functools.cache
 def rotation(size: int, seed: int = 7) -> np.ndarray:
-    """A fixed random rotation."""
+    """A fixed random rotation; a process makes it once."""
     return np.linalg.qr(np.random.default_rng(seed).standard_normal((size, size)))[0]
 
 
@@ -383,7 +385,6 @@ def _comparer(cosine: float, leads: dict[int, int]):
 
     def compare(batches):
         ready: dict[int, _Side] = {}
-        turns: dict[int, np.ndarray] = {}
         held = 0
 
         def side(batch, at: int, name: str) -> _Side:
@@ -392,11 +393,9 @@ def _comparer(cosine: float, leads: dict[int, int]):
             if tile in ready:
                 ready[tile] = ready.pop(tile)
                 return ready[tile]
-            if size not in turns:
-                turns[size] = rotation(size)
-            ready[tile] = _Side(size, *(batch.column(f"{x}_{name}")[at].as_py() for x in ("first", "copies", "data")), leads.get(size, size), turns[size])
+            ready[tile] = _Side(size, *(batch.column(f"{x}_{name}")[at].as_py() for x in ("first", "copies", "data")), leads.get(size, size), rotation(size))
             held += ready[tile].bytes
-            while held > _READY_BYTES and len(ready) > 1:
+            while held > _READY_BYTES and len(ready) > 2:
                 held -= ready.pop(next(iter(ready))).bytes
             return ready[tile]
 
